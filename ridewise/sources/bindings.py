@@ -373,7 +373,7 @@ def fraud_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pm(eid * 23, 25) < 3).cast("int").alias("promo_applied"),
         F.col("cancellations_today").cast("int").alias("cancellations_today"),
         (pm(eid * 29, 25) == 0).cast("int").alias("is_fraud"),
-        pm(eid, 5).cast("int").alias("ftype_idx"),
+        pm(F.floor(eid / 25), 5).cast("int").alias("ftype_idx"),
     )
     normal = base.where(F.col("is_fraud") == 0).withColumn("fraud_type", F.lit("none"))
     fr = base.where(F.col("is_fraud") == 1).withColumn("fraud_type", pick(K.FRAUD_TYPES, F.col("ftype_idx")))
