@@ -46,12 +46,15 @@ def stratified_split(df: DataFrame, key: str, label: str, test_frac: float = 0.2
             .select(label, F.col("__s.__b").alias("__bb"),
                     (F.col("__s.__k") - (F.col("__s.__cum") - F.col("__s.__cnt"))).alias("__take")))
     j = h.join(F.broadcast(bnd), label, "left")
-    edge = j.where(F.col("__b") == F.col("__bb"))
-    rest = j.where(~(F.col("__b") == F.col("__bb")) | F.col("__bb").isNull())
-    w = Window.partitionBy(label).orderBy("__h", key)
-    edge = edge.withColumn(out, F.when(F.row_number().over(w) <= F.col("__take"), "test").otherwise("train"))
-    rest = rest.withColumn(out, F.when(F.col("__b") < F.col("__bb"), "test").otherwise("train"))
-    return edge.unionByName(rest).drop("__h", "__b", "__bb", "__take")
+    # rank inside each (class, bucket) group: groups hold ~n / 2^bits rows,
+    # so no group is hot; only the boundary bucket's ranks matter
+    w = Window.partitionBy(label, "__b").orderBy("__h", key)
+    rn = F.row_number().over(w)
+    in_test = F.when(F.col("__b") < F.col("__bb"), F.lit(True)) \
+               .when(F.col("__b") > F.col("__bb"), F.lit(False)) \
+               .otherwise(rn <= F.col("__take"))
+    return (j.withColumn(out, F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
+             .drop("__h", "__b", "__bb", "__take"))
 
 
 def hash_sample(df: DataFrame, key: str | list[str], n: int) -> DataFrame:

@@ -168,7 +168,7 @@ UNION ALL SELECT 'macro avg', round(avg(precision), {R6}), round(avg(recall), {R
                  round(avg(f1), {R6}) FROM per2
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), {R6}),
                  round(sum(recall * support) / sum(support), {R6}), CAST(sum(support) AS BIGINT),
-                 round(sum(f1 * support) / sum(support), {R6}) FROM per2""", ops=("J25",))
+                 round(sum(f1 * support) / sum(support), {R6}) FROM per2""", ops=("J25", "H1"))
 def labelled_class_report(spark, sf_dir):
     lab = B.labelled(spark, sf_dir).withColumn("pred", (F.col("score") >= 0.5).cast("int"))
     r = evaluate.classification_report(lab, "quality", "pred")

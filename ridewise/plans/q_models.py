@@ -1 +1,188 @@
-"""Queries."""
+"""Model queries: pricing and demand selection, fare prediction, scenario
+forecast, and the fraud ensemble (J6-J10, J15, J17-J21, J26, J27).
+
+Model outputs have no SQL twin; they get a rows-only check here and
+invariant tests in ``tests/``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ridewise import constants as K
+from ridewise.functions import calendar as cal
+from ridewise.functions.encode import apply_codes, fit_alphabetical
+from ridewise.operators import anomaly, evaluate, forecast, geo, scale, split, validate
+from ridewise.plans.catalog import register
+from ridewise.sources import bindings as B
+from ridewise.session import cut_lineage
+
+MAX_ITER = 10
+
+
+def _encoded_rides(spark, sf_dir):
+    r = B.rides(spark, sf_dir)
+    codes = fit_alphabetical(r, ["pickup_neighborhood", "dropoff_neighborhood"], "code")
+    r = apply_codes(r, codes, "pickup_neighborhood", "pickup_enc")
+    r = apply_codes(r, codes, "dropoff_neighborhood", "dropoff_enc")
+    return r, codes
+
+
+def _pricing(spark, sf_dir):
+    r, codes = _encoded_rides(spark, sf_dir)
+    s = split.hash_split(r, "trip_id", 20)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    metrics, best, models = forecast.evaluate_candidates(spark, train, test, "price_usd",
+                                                         forecast.pricing_candidates(MAX_ITER), metric="mae")
+    return metrics, best, models, codes
+
+
+@register("pricing_model_selection", None, ops=("J6", "J7", "J9", "J10", "J22", "B9", "J1"), heavy=True)
+def pricing_model_selection(spark, sf_dir):
+    metrics, best, models, _ = _pricing(spark, sf_dir)
+    fi = forecast.feature_importance(spark, models[best], K.PRICING_FEATURES)
+    top = fi.groupBy().agg(F.collect_list(F.struct("feature", "importance")).alias("best_feature_importance"))
+    return metrics.crossJoin(top)
+
+
+def _geo_features(spark, sf_dir):
+    g = B.geo_trips(spark, sf_dir)
+    g = cal.add_cyclical(g, {"hour": ("hour", 24), "dow": ("day_of_week", 7), "month": ("month", 12)})
+    codes = fit_alphabetical(g, ["neighborhood"], "code")
+    return apply_codes(g, codes, "neighborhood", "neighborhood_enc"), codes
+
+
+def _demand(spark, sf_dir):
+    g, codes = _geo_features(spark, sf_dir)
+    s = split.hash_split(g, "trip_id", 20)
+    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
+    metrics, best, models = forecast.evaluate_candidates(spark, train, test, "demand_score",
+                                                         forecast.demand_candidates(MAX_ITER), clip01=True,
+                                                         metric="r2", lower_is_better=False)
+    return metrics, best, models, codes
+
+
+@register("demand_model_selection", None, ops=("J8", "J9", "J10", "B16", "B23"), heavy=True)
+def demand_model_selection(spark, sf_dir):
+    metrics, best, models, _ = _demand(spark, sf_dir)
+    fi = forecast.feature_importance(spark, models[best], K.DEMAND_FEATURES)
+    top = fi.groupBy().agg(F.collect_list(F.struct("feature", "importance")).alias("best_feature_importance"))
+    return metrics.crossJoin(top)
+
+
+@register("fare_predictions", None, ops=("J26", "B4", "C6", "A8"), heavy=True)
+def fare_predictions(spark, sf_dir):
+    _, best, models, codes = _pricing(spark, sf_dir)
+    req = validate.validate(B.price_requests(spark, sf_dir), validate.price_request_rules())
+    valid, _ = validate.split_valid(req)
+    v = (valid.withColumn("weather_encoded", F.array_position(F.array(*[F.lit(w) for w in K.WEATHER]), F.col("weather")) - 1)
+              .withColumn("is_weekend", cal.is_weekend("day_of_week"))
+              .withColumn("is_night", cal.is_night("hour"))
+              .withColumn("is_rush_hour", cal.is_rush_hour("hour"))
+              .withColumn("demand_supply_ratio",
+                          F.round(F.col("pending_requests") / (F.col("active_drivers") + 1), 2)))
+    v = apply_codes(v, codes, "pickup_neighborhood", "pickup_enc", handle_invalid="error")
+    v = apply_codes(v, codes, "dropoff_neighborhood", "dropoff_enc", handle_invalid="error")
+    out = forecast.predict_fares(models[best], v)
+    return out.select("request_id", "response.*")
+
+
+@register("scenario_demand_forecast", None, ops=("J27", "D9"), heavy=True)
+def scenario_demand_forecast(spark, sf_dir):
+    _, best, models, codes = _demand(spark, sf_dir)
+    s = geo.scenario_grid(spark, K.SCENARIO_ZONES, K.GRID_SCENARIO_DOW, K.GRID_SCENARIO_MONTH)
+    s = cal.add_cyclical(s, {"hour": ("hour", 24), "dow": ("day_of_week", 7), "month": ("month", 12)})
+    s = apply_codes(s, codes, "neighborhood", "neighborhood_enc")
+    p = models[best].transform(s)
+    return p.select("neighborhood", "hour", F.col("prediction").alias("predicted_demand"))
+
+
+# ----------------------------------------------------------------- fraud ensemble
+
+def _fraud_frames(spark, sf_dir):
+    f = B.fraud_trips(spark, sf_dir).na.fill(0, subset=K.FRAUD_FEATURES)   # B8
+    s = cut_lineage(split.stratified_split(f, "trip_id", "is_fraud", 0.2))
+    # validation split inside train for ensemble weights (Q13)
+    tr = s.where(F.col("split") == "train").drop("split")
+    v = split.stratified_split(tr, "trip_id", "is_fraud", 0.2)
+    fit = v.where(F.col("split") == "train").drop("split")
+    val = v.where(F.col("split") == "test").drop("split")
+    test = s.where(F.col("split") == "test").drop("split")
+    z = [f"z_{c}" for c in K.FRAUD_FEATURES]
+
+    def with_z(df):
+        return df.select("trip_id", "is_fraud", "fraud_type", *K.FRAUD_FEATURES,
+                         *[F.col(c).cast("double").alias(f"z_{c}") for c in K.FRAUD_FEATURES])
+
+    # The three frames feed several fits and passes: materialise the split
+    # once (reliable checkpoint in the shared folder) so no pass re-derives it.
+    all_ = cut_lineage(with_z(fit).withColumn("__part", F.lit("fit"))
+                       .unionByName(with_z(val).withColumn("__part", F.lit("val")))
+                       .unionByName(with_z(test).withColumn("__part", F.lit("test"))))
+    fit_z = all_.where(F.col("__part") == "fit").drop("__part")
+    m = scale.standard_fit(fit_z, z)     # J5: fitted on the training rows only
+    m = cut_lineage(m)
+    out = cut_lineage(scale.standard_transform(all_, m, z))
+    pick = lambda name: out.where(F.col("__part") == name).drop("__part")
+    return pick("fit"), pick("val"), pick("test"), z
+
+
+def _iso(spark, fit, frames, z, n_trees=K.IFOREST_TREES):
+    model = anomaly.fit_isolation_forest(fit, "trip_id", z, n_trees=n_trees)
+    return [anomaly.score_isolation_forest(fr, model) for fr in frames]
+
+
+@register("isolation_forest_scores", None, ops=("J17", "J5", "J2", "E29"), heavy=True)
+def isolation_forest_scores(spark, sf_dir):
+    from ridewise.operators.stats import minmax_rescale
+    fit, val, test, z = _fraud_frames(spark, sf_dir)
+    (scored,) = _iso(spark, fit, [test], z)
+    return minmax_rescale(scored, "iso_score", "iso_score_scaled").select(
+        "trip_id", "is_fraud", "fraud_type", "iso_score", "iso_score_scaled")
+
+
+def _ae(spark, fit, frames, z, epochs=K.AE_EPOCHS):
+    normal = fit.where(F.col("is_fraud") == 0)   # B6: train on normal rows
+    w, losses = anomaly.fit_autoencoder(normal, z, epochs=epochs)
+    train_err = anomaly.reconstruction_error(normal, z, w)
+    thr_src = cut_lineage(train_err.select("recon_error"))
+    return [anomaly.autoencoder_scores(thr_src, anomaly.reconstruction_error(fr, z, w)) for fr in frames], losses
+
+
+@register("autoencoder_scores", None, ops=("J18", "J19", "B6", "E12", "B23"), heavy=True)
+def autoencoder_scores(spark, sf_dir):
+    fit, val, test, z = _fraud_frames(spark, sf_dir)
+    (scored,), losses = _ae(spark, fit, [test], z)
+    return scored.select("trip_id", "is_fraud", "fraud_type", "recon_error", "ae_score")
+
+
+@register("fraud_ensemble_report", None, ops=("J20", "J21", "J23", "J24", "J25", "Q13"), heavy=True)
+def fraud_ensemble_report(spark, sf_dir):
+    fit, val, test, z = _fraud_frames(spark, sf_dir)
+    iso_val, iso_test = [cut_lineage(x) for x in _iso(spark, fit, [val, test], z)]
+    (ae_val, ae_test), _ = _ae(spark, fit, [val, test], z)
+    ae_val, ae_test = cut_lineage(ae_val), cut_lineage(ae_test)
+    clf = anomaly.fit_weighted_classifier(fit, K.FRAUD_FEATURES, "is_fraud", max_iter=MAX_ITER)
+    keys = ["trip_id"]
+
+    def combine(iso, ae, base):
+        from ridewise.operators.stats import minmax_rescale
+        i = minmax_rescale(iso.select("trip_id", "iso_score"), "iso_score", "iso")
+        a = ae.select("trip_id", F.col("ae_score").alias("ae"))
+        x = anomaly.classifier_scores(clf, base.select("trip_id", "is_fraud", "fraud_type", *K.FRAUD_FEATURES))
+        return x.join(i.select("trip_id", "iso"), keys).join(a, keys).withColumnRenamed("xgb_score", "xgb")
+
+    v = combine(iso_val, ae_val, val).cache()
+    aucs = {c: evaluate.roc_auc(v, "is_fraud", c).first()["auc"] or 0.5 for c in ("iso", "ae", "xgb")}
+    v.unpersist()
+    t = anomaly.ensemble(combine(iso_test, ae_test, test), aucs)
+    auc = evaluate.roc_auc(t, "is_fraud", "ensemble_score").select(F.lit("ensemble_auc").alias("metric"),
+                                                                   F.col("auc").alias("value"))
+    w = spark.createDataFrame([(f"weight_{k}", v_ / sum(aucs.values())) for k, v_ in aucs.items()]
+                              + [(f"val_auc_{k}", float(v_)) for k, v_ in aucs.items()], "metric string, value double")
+    cm = evaluate.confusion_matrix(t, "is_fraud", "is_flagged").select(
+        F.concat(F.lit("cm_"), F.col("actual").cast("string"), F.lit("_"), F.col("predicted").cast("string")).alias("metric"),
+        F.col("count").cast("double").alias("value"))
+    rep = evaluate.classification_report(t, "is_fraud", "is_flagged").select(
+        F.concat(F.lit("f1_"), F.col("class")).alias("metric"), F.col("f1").alias("value"))
+    return auc.unionByName(w).unionByName(cm).unionByName(rep)

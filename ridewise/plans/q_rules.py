@@ -110,7 +110,7 @@ SELECT trip_id, is_fraud, fraud_type, trip_count_today, cancellations_today, loc
          CASE WHEN duration_min <= 3.0 AND speed_kmh > 90.0 THEN 'fake_completion' END,
          CASE WHEN new_device = 1 AND location_jump_km > 15.0 THEN 'account_takeover' END,
          CASE WHEN trip_count_today >= 15 AND cancellations_today >= 3 THEN 'promo_abuse' END) AS patterns
-FROM fraud_trips, b""", ops=("C7", "K4", "H1", "B18", "B19", "B23"))
+FROM fraud_trips, b""", ops=("C7", "K4", "B18", "B19", "B23"))
 def fraud_pattern_flags(spark, sf_dir):
     ft = B.fraud_trips(spark, sf_dir)
     q = ft.agg(F.percentile(F.col("fare_distance_ratio"), [0.25, 0.75]).alias("q"))

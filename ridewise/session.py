@@ -63,10 +63,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (never localCheckpoint)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` as a parquet table in the shared folder and read it
+    back: one computation (a reliable ``checkpoint()`` of an uncached plan
+    computes it twice), lineage cut, and the table survives executor loss.
+    Never ``localCheckpoint``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def env_cpus(default: int = 8) -> int:
