@@ -1 +1,81 @@
-"""Queries."""
+"""Streaming queries (K1-K4): run with availableNow over the table directory,
+then read the sink; each has a batch twin in DuckDB."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ridewise import constants as K
+from ridewise.plans.catalog import register
+from ridewise.plans.sql_views import D, fraud_trips_cte, rhu, rides_cte, trips_cte, with_
+from ridewise.session import cut_lineage
+from ridewise.sources import bindings as B
+from ridewise.streaming import jobs
+
+R6 = 6
+
+
+@register("stream_zone_window_demand", with_(trips_cte()) + f"""
+, w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, neighborhood, count(*) AS requests,
+               sum(completed) AS completed, round(sum(fare_usd), {R6}) AS fares
+        FROM trips GROUP BY 1, 2)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, neighborhood, requests,
+       CAST(completed AS BIGINT) AS completed, fares
+FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM trips) - INTERVAL 10 MINUTE""",
+          ops=("K1", "E5"))
+def stream_zone_window_demand(spark, sf_dir):
+    t = B.trips_from_events(jobs.event_stream(spark, sf_dir))
+    out = jobs.run_available_now(jobs.zone_window_demand(t), "k1")
+    return out.select("window_start", "window_end", "neighborhood", "requests",
+                      F.col("completed").cast("bigint").alias("completed"), F.round("fares", R6).alias("fares"))
+
+
+def _k2_sql():
+    p = rhu(f"greatest(price_usd, {D(K.SURGE_PRICE_FLOOR)})", 2)
+    base = f"({D(K.SURGE_BASE_FARE)} + distance_km * {D(K.SURGE_PER_KM)})"
+    return with_(trips_cte(), rides_cte()) + f"""
+SELECT trip_id, {p} AS estimated_price_usd, {p} > {base} * {D(K.SURGE_FACTOR)} AS surge_active,
+       CASE WHEN distance_km < {D(K.SURGE_HIGH_CONFIDENCE_KM)} THEN 'high' ELSE 'medium' END AS confidence
+FROM rides"""
+
+
+@register("stream_price_scoring", _k2_sql(), ops=("K2", "C1", "C6"))
+def stream_price_scoring(spark, sf_dir):
+    static_t = B.trips(spark, sf_dir)
+    boosts = cut_lineage(B.pricing_boost_by_date(spark, static_t.select("date")))   # static, one row per day
+    t = B.trips_from_events(jobs.event_stream(spark, sf_dir))
+    out = jobs.run_available_now(jobs.price_scoring(spark, t, boosts), "k2")
+    return out.select("trip_id", "estimated_price_usd", "surge_active", "confidence")
+
+
+@register("stream_fraud_scoring", with_(trips_cte(), fraud_trips_cte()) + """
+, b AS (SELECT quantile_cont(fare_distance_ratio, 0.25) AS q1, quantile_cont(fare_distance_ratio, 0.75) AS q3 FROM fraud_trips)
+SELECT trip_id, is_fraud, fraud_type,
+       concat_ws(',',
+         CASE WHEN speed_kmh > 90.0 AND location_jump_km > 15.0 THEN 'gps_spoofing' END,
+         CASE WHEN fare_distance_ratio > b.q3 + 1.5 * (b.q3 - b.q1) THEN 'fare_manipulation' END,
+         CASE WHEN duration_min <= 3.0 AND speed_kmh > 90.0 THEN 'fake_completion' END,
+         CASE WHEN new_device = 1 AND location_jump_km > 15.0 THEN 'account_takeover' END,
+         CASE WHEN trip_count_today >= 15 AND cancellations_today >= 3 THEN 'promo_abuse' END) AS patterns
+FROM fraud_trips, b""", ops=("K3", "C7"))
+def stream_fraud_scoring(spark, sf_dir):
+    # Batch side: materialise the scored trip table and freeze the bound.
+    ft = B.fraud_trips(spark, sf_dir)
+    table = cut_lineage(ft, "fraud-trips")
+    q = table.agg(F.percentile(F.col("fare_distance_ratio"), [0.25, 0.75]).alias("q")).first()["q"]
+    bound = q[1] + 1.5 * (q[1] - q[0])
+    src = table.inputFiles()[0].rsplit("/", 1)[0]
+    stream = spark.readStream.schema(table.schema).parquet(src)
+    return jobs.run_available_now(jobs.fraud_scoring(stream, bound), "k3")
+
+
+@register("stream_rider_day_state", with_(trips_cte()) + f"""
+, o AS (SELECT *, row_number() OVER w AS rn, lag(pickup_lat) OVER w AS plat, lag(pickup_lon) OVER w AS plon,
+               sum(CAST(trip_type = 'error' AS INTEGER)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+        FROM trips WINDOW w AS (PARTITION BY customer_id, date ORDER BY ts, trip_id))
+SELECT trip_id, customer_id, date, CAST(rn AS INTEGER) AS trips_so_far, CAST(c AS INTEGER) AS cancellations_so_far,
+       coalesce({rhu(f'sqrt((pickup_lat - plat) * (pickup_lat - plat) + (pickup_lon - plon) * (pickup_lon - plon)) * {D(111.0)}', 2)}, 0.0) AS location_jump_km
+FROM o""", ops=("K4",))
+def stream_rider_day_state(spark, sf_dir):
+    t = B.trips_from_events(jobs.event_stream(spark, sf_dir))
+    return jobs.run_available_now(jobs.rider_day_running(t), "k4")
