@@ -58,17 +58,16 @@ def week_ending_sunday(d) -> Column:
 
 def add_time_parts(df, ts_col: str = "ts"):
     """hour, day_of_week (Mon=0), month, is_weekend, is_night, is_rush_hour."""
-    return (df.withColumn("hour", hour_of(ts_col))
-              .withColumn("day_of_week", weekday_of(ts_col))
-              .withColumn("month", month_of(ts_col))
-              .withColumn("is_weekend", is_weekend("day_of_week"))
-              .withColumn("is_night", is_night("hour"))
-              .withColumn("is_rush_hour", is_rush_hour("hour")))
+    # two projections (withColumns), not six chained withColumn calls
+    d = df.withColumns({"hour": hour_of(ts_col), "day_of_week": weekday_of(ts_col), "month": month_of(ts_col)})
+    return d.withColumns({"is_weekend": is_weekend("day_of_week"), "is_night": is_night("hour"),
+                          "is_rush_hour": is_rush_hour("hour")})
 
 
 def add_cyclical(df, cols_periods: dict[str, tuple[str, float]]):
     """``{"hour": ("hour", 24), ...}`` adds ``<name>_sin`` / ``<name>_cos``."""
+    cols = {}
     for name, (src, period) in cols_periods.items():
         s, c = cyclical(src, period)
-        df = df.withColumn(f"{name}_sin", s).withColumn(f"{name}_cos", c)
-    return df
+        cols[f"{name}_sin"], cols[f"{name}_cos"] = s, c
+    return df.withColumns(cols)

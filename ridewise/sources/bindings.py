@@ -150,10 +150,9 @@ def rides_from_trips(spark: SparkSession, t: DataFrame, boosts: DataFrame) -> Da
         (pm(eid * 11, 116) + 5).cast("int").alias("pending_requests"),
     )
     r = r.join(F.broadcast(boosts), "date", "left")   # one row per calendar day
-    r = (r.withColumn("weather_encoded", weather_code("weather"))
-          .withColumn("active_drivers", supply_count("driver_supply_ratio", 80))
-          .withColumn("demand_supply_ratio",
-                      round_half_up(F.col("pending_requests") / (F.col("active_drivers") + 1), 2)))
+    r = r.withColumns({"weather_encoded": weather_code("weather"),
+                       "active_drivers": supply_count("driver_supply_ratio", 80)})
+    r = r.withColumn("demand_supply_ratio", round_half_up(F.col("pending_requests") / (F.col("active_drivers") + 1), 2))
     return r.withColumn("price_usd", rule_fare())
 
 
@@ -201,11 +200,9 @@ def daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = (orders_day.join(per_day, "date")
                    .join(first_order, "date", "left")
                    .withColumn("new_customers", F.coalesce("new_customers", F.lit(0)).cast("bigint")))
-    d = (d.withColumn("day_of_week", cal.weekday_of("date"))
-          .withColumn("is_weekend", cal.is_weekend("day_of_week"))
-          .withColumn("month", cal.month_of("date"))
-          .withColumn("driver_utilization", driver_utilisation("total_trips", "active_drivers")))
-    return d
+    d = d.withColumns({"day_of_week": cal.weekday_of("date"), "month": cal.month_of("date"),
+                       "driver_utilization": driver_utilisation("total_trips", "active_drivers")})
+    return d.withColumn("is_weekend", cal.is_weekend("day_of_week"))
 
 
 # ----------------------------------------------------------------------------
@@ -266,12 +263,12 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pm(k * 7, 5) < 2).cast("int").alias("prefers_quiet"),
         (pm(k, 7) + 1).cast("int").alias("active_days"),
     )
-    for flag, v in [("is_nightlife_spec", "nightlife"), ("is_airport_spec", "airport"),
-                    ("is_event_spec", "event"), ("is_wedding_spec", "wedding")]:
-        d = d.withColumn(flag, list_flag("specialties", v))
-    d = (d.withColumn("speaks_spanish", list_flag("languages", "Spanish"))
-          .withColumn("speaks_english", list_flag("languages", "English")))
-    return d
+    flags = {flag: list_flag("specialties", v) for flag, v in
+             [("is_nightlife_spec", "nightlife"), ("is_airport_spec", "airport"),
+              ("is_event_spec", "event"), ("is_wedding_spec", "wedding")]}
+    flags["speaks_spanish"] = list_flag("languages", "Spanish")
+    flags["speaks_english"] = list_flag("languages", "English")
+    return d.withColumns(flags)
 
 
 SEGMENT_TO_CAR = {"AUTOMOBILE": "Sedan", "BUILDING": "SUV", "FURNITURE": "Luxury",
@@ -292,11 +289,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         (pm(k * 31, 101) / 100).alias("price_sensitivity"),
         pick(K.MUSIC_PREFS, pm(k * 5, 6)).alias("preferred_music"),
     )
-    out = out.withColumn("preferred_car_enc", ordinal_code("preferred_car_type", K.CAR_TYPES))
+    cols = {"preferred_car_enc": ordinal_code("preferred_car_type", K.CAR_TYPES)}
     for flag, v in [("is_nightlife_user", "nightlife"), ("is_airport_user", "airport"),
                     ("is_event_user", "event")]:
-        out = out.withColumn(flag, list_flag("preferred_trip_types", v))
-    return out
+        cols[flag] = list_flag("preferred_trip_types", v)
+    return out.withColumns(cols)
 
 
 def interactions(spark: SparkSession, sf_dir: str, with_compatibility: bool = True) -> DataFrame:
@@ -359,9 +356,10 @@ def rider_day_features(t: DataFrame) -> DataFrame:
     prev_lat = F.lag("pickup_lat").over(w_ord)
     prev_lon = F.lag("pickup_lon").over(w_ord)
     jump = F.sqrt((F.col("pickup_lat") - prev_lat) ** 2 + (F.col("pickup_lon") - prev_lon) ** 2) * KM_PER_DEGREE
-    return (t.withColumn("trip_count_today", F.count(F.lit(1)).over(w_day))
-             .withColumn("cancellations_today", F.sum((F.col("trip_type") == "error").cast("int")).over(w_day))
-             .withColumn("location_jump_km", F.coalesce(round_half_up(jump, 2), F.lit(0.0))))
+    return t.withColumns({
+        "trip_count_today": F.count(F.lit(1)).over(w_day),
+        "cancellations_today": F.sum((F.col("trip_type") == "error").cast("int")).over(w_day),
+        "location_jump_km": F.coalesce(round_half_up(jump, 2), F.lit(0.0))})
 
 
 def fraud_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,35 +389,35 @@ def fraud_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          .otherwise(F.lit("none")))
     ft = F.col("fraud_type")
     inj = lambda name, val, col: F.when(ft == name, val).otherwise(F.col(col))
-    fr = (fr.withColumn("location_jump_km", inj("gps_spoofing", F.lit(15.0) + pm(eid, 65),
-                                                 "location_jump_km"))
-            .withColumn("speed_kmh", inj("gps_spoofing", F.lit(90.0) + pm(eid * 3, 110), "speed_kmh"))
-            .withColumn("distance_km", inj("fare_manipulation", F.lit(40.0) + pm(eid * 3, 60), "distance_km"))
-            .withColumn("fare_usd", inj("fare_manipulation", F.lit(150.0) + pm(eid * 7, 350), "fare_usd"))
-            .withColumn("distance_km", inj("fake_completion", F.lit(0.1) + pm(eid * 3, 90) / 100, "distance_km"))
-            .withColumn("speed_kmh", inj("fake_completion", F.lit(150.0) + pm(eid * 11, 150), "speed_kmh"))
-            .withColumn("new_device", inj("account_takeover", F.lit(1), "new_device"))
-            .withColumn("new_payment_method", inj("account_takeover", F.lit(1), "new_payment_method"))
-            .withColumn("location_jump_km", inj("account_takeover", F.lit(50.0) + pm(eid * 13, 450),
-                                                 "location_jump_km"))
-            .withColumn("hour", inj("account_takeover", (pm(eid, 4) + 1).cast("int"), "hour"))
-            .withColumn("promo_applied", inj("promo_abuse", F.lit(1), "promo_applied"))
-            .withColumn("trip_count_today", inj("promo_abuse", (pm(eid * 3, 26) + 15).cast("int"),
-                                                 "trip_count_today"))
-            .withColumn("cancellations_today", inj("promo_abuse", (pm(eid * 5, 13) + 8).cast("int"),
-                                                    "cancellations_today"))
-            .withColumn("new_payment_method", inj("promo_abuse", F.lit(1), "new_payment_method")))
+    fr = fr.withColumns({
+        "location_jump_km": F.when(ft == "gps_spoofing", F.lit(15.0) + pm(eid, 65))
+                             .when(ft == "account_takeover", F.lit(50.0) + pm(eid * 13, 450))
+                             .otherwise(F.col("location_jump_km")),
+        "speed_kmh": F.when(ft == "gps_spoofing", F.lit(90.0) + pm(eid * 3, 110))
+                      .when(ft == "fake_completion", F.lit(150.0) + pm(eid * 11, 150))
+                      .otherwise(F.col("speed_kmh")),
+        "distance_km": F.when(ft == "fare_manipulation", F.lit(40.0) + pm(eid * 3, 60))
+                        .when(ft == "fake_completion", F.lit(0.1) + pm(eid * 3, 90) / 100)
+                        .otherwise(F.col("distance_km")),
+        "fare_usd": inj("fare_manipulation", F.lit(150.0) + pm(eid * 7, 350), "fare_usd"),
+        "new_device": inj("account_takeover", F.lit(1), "new_device"),
+        "new_payment_method": F.when(ft.isin("account_takeover", "promo_abuse"), F.lit(1))
+                               .otherwise(F.col("new_payment_method")),
+        "hour": inj("account_takeover", (pm(eid, 4) + 1).cast("int"), "hour"),
+        "promo_applied": inj("promo_abuse", F.lit(1), "promo_applied"),
+        "trip_count_today": inj("promo_abuse", (pm(eid * 3, 26) + 15).cast("int"), "trip_count_today"),
+        "cancellations_today": inj("promo_abuse", (pm(eid * 5, 13) + 8).cast("int"), "cancellations_today"),
+    })
     allrows = fr
     # Derived columns are recomputed after injection.
     dur = F.when(F.col("fraud_type") == "fare_manipulation", F.lit(5.0) + pm(eid * 5, 151) / 10) \
            .when(F.col("fraud_type") == "fake_completion", F.lit(0.5) + pm(eid * 7, 26) / 10) \
            .otherwise(clip(round_half_up(F.col("distance_km") / F.greatest(F.col("speed_kmh"), F.lit(5.0)) * 60, 1),
                            1.0, 120.0))
-    return (allrows.withColumn("duration_min", dur)
-                   .withColumn("is_night", cal.is_night("hour"))
-                   .withColumn("fare_distance_ratio",
-                               round_half_up(F.col("fare_usd") / F.greatest(F.col("distance_km"), F.lit(0.1)), 2))
-                   .drop("ftype_idx"))
+    return (allrows.withColumns({
+        "duration_min": dur, "is_night": cal.is_night("hour"),
+        "fare_distance_ratio": round_half_up(F.col("fare_usd") / F.greatest(F.col("distance_km"), F.lit(0.1)), 2),
+    }).drop("ftype_idx"))
 
 
 # ----------------------------------------------------------------------------

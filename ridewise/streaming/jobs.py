@@ -14,6 +14,7 @@ data present and returns the sink as a batch DataFrame.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,41 +98,58 @@ K4_OUT = T.StructType([
     T.StructField("cancellations_so_far", T.IntegerType()), T.StructField("location_jump_km", T.DoubleType()),
 ])
 K4_STATE = T.StructType([
-    T.StructField("n", T.IntegerType()), T.StructField("cancels", T.IntegerType()),
+    T.StructField("day", T.DateType()), T.StructField("n", T.IntegerType()), T.StructField("cancels", T.IntegerType()),
     T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()),
 ])
 KM_PER_DEGREE = 111.0
 
 
-def _rider_day_state(key, pdfs, state):
-    """Running per-rider-day counters and the jump from the previous pickup."""
+def _rider_state(key, pdfs, state):
+    """Running per-rider-day counters and the jump from the previous pickup.
+
+    Keyed by rider; the state holds the rider's current day, so counters
+    restart when the day changes. A micro-batch's rows of one rider are
+    processed vectorised (sort, per-day cumulative counts, shifted
+    coordinates)."""
     if state.hasTimedOut:
         state.remove()
         return
-    n, cancels, lat, lon = state.get if state.exists else (0, 0, None, None)
-    out = []
-    for pdf in pdfs:
-        for r in pdf.sort_values(["ts", "trip_id"], kind="stable").itertuples(index=False):
-            n += 1
-            cancels += int(r.trip_type == "error")
-            if lat is None:
-                jump = 0.0
-            else:
-                d = ((r.pickup_lat - lat) ** 2 + (r.pickup_lon - lon) ** 2) ** 0.5 * KM_PER_DEGREE
-                jump = float(int(d * 100 + 0.5)) / 100 if d >= 0 else 0.0
-            lat, lon = r.pickup_lat, r.pickup_lon
-            out.append((r.trip_id, key[0], key[1], n, cancels, jump))
-    state.update((n, cancels, lat, lon))
-    # state of a rider-day is dropped once the watermark passes the day's end
-    day_end_ms = int(pd.Timestamp(key[1]).tz_localize("UTC").timestamp() * 1000) + 86_400_000
+    pdf = pd.concat(list(pdfs), ignore_index=True)
+    if len(pdf) == 0:
+        return
+    pdf = pdf.sort_values(["ts", "trip_id"], kind="stable").reset_index(drop=True)
+    day0, n0, c0, lat0, lon0 = state.get if state.exists else (None, 0, 0, None, None)
+    dates = pdf["date"]
+    cont = dates == day0                      # rows continuing the stored day
+    grp = (dates != dates.shift()).cumsum()
+    n = pdf.groupby(grp).cumcount() + 1 + np.where(cont, n0, 0)
+    is_err = (pdf["trip_type"] == "error").astype(int)
+    c = is_err.groupby(grp).cumsum() + np.where(cont, c0, 0)
+    plat = pdf["pickup_lat"].shift()
+    plon = pdf["pickup_lon"].shift()
+    first = grp != grp.shift()
+    plat = plat.where(~first, lat0 if lat0 is not None else np.nan)
+    plon = plon.where(~first, lon0 if lon0 is not None else np.nan)
+    plat = plat.where(~(first & ~cont), np.nan)
+    plon = plon.where(~(first & ~cont), np.nan)
+    dlat = pdf["pickup_lat"] - plat
+    dlon = pdf["pickup_lon"] - plon
+    d = np.sqrt(dlat * dlat + dlon * dlon) * KM_PER_DEGREE
+    jump = (np.floor(d * 100.0 + 0.5) / 100.0).fillna(0.0)
+    last = pdf.iloc[-1]
+    state.update((last["date"], int(n.iloc[-1]), int(c.iloc[-1]), float(last["pickup_lat"]),
+                  float(last["pickup_lon"])))
+    # drop the rider's state once the watermark has passed the end of the day
+    day_end_ms = int(pd.Timestamp(last["date"]).tz_localize("UTC").timestamp() * 1000) + 86_400_000
     state.setTimeoutTimestamp(max(day_end_ms, state.getCurrentWatermarkMs() + 1))
-    if out:
-        yield pd.DataFrame(out, columns=[f.name for f in K4_OUT.fields])
+    yield pd.DataFrame({"trip_id": pdf["trip_id"], "customer_id": key[0], "date": dates,
+                        "trips_so_far": n.astype("int32"), "cancellations_so_far": c.astype("int32"),
+                        "location_jump_km": jump.astype(float)})
 
 
 def rider_day_running(trips: DataFrame) -> DataFrame:
     """K4: running trip count, cancellations and location jump per rider-day."""
     t = (trips.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", WATERMARK)
               .select("trip_id", "customer_id", "date", "ts", "event_time", "trip_type", "pickup_lat", "pickup_lon"))
-    return t.groupBy("customer_id", "date").applyInPandasWithState(
-        _rider_day_state, K4_OUT, K4_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return t.groupBy("customer_id").applyInPandasWithState(
+        _rider_state, K4_OUT, K4_STATE, "append", GroupStateTimeout.EventTimeTimeout)
