@@ -7,7 +7,7 @@ dropped, as a pandas ``groupby`` does.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridewise.functions.calendar import day_name, week_ending_sunday
@@ -67,19 +67,23 @@ def weekly_resample(df: DataFrame, date_col: str, values: dict[str, str],
                     week_col: str = "week", fill_empty: bool = True) -> DataFrame:
     """Weeks end on Sunday and are labelled by that Sunday.
 
-    Empty weeks inside the range get 0, as a resample-sum does. The spine is
-    generated from the min/max week (one row, exploded): its size is the
-    number of weeks, independent of the data volume.
+    Empty weeks inside the range get 0, as a resample-sum does. Gaps are
+    filled from the weekly table itself: each week row also emits the empty
+    weeks up to the next present week (``lead`` over the week rows, whose
+    count is bounded by the calendar), so the source is aggregated once.
     """
     wk = (df.where(F.col(date_col).isNotNull())
             .groupBy(week_ending_sunday(date_col).alias(week_col))
             .agg(*[F.sum(c).alias(o) for o, c in values.items()]))
     if not fill_empty:
         return wk
-    spine = (wk.agg(F.min(week_col).alias("lo"), F.max(week_col).alias("hi"))
-               .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 7 DAYS"))).alias(week_col)))
-    return (spine.join(wk, week_col, "left")
-                 .select(week_col, *[F.coalesce(F.col(o), F.lit(0)).alias(o) for o in values]))
+    nxt = F.lead(week_col).over(Window.orderBy(week_col))
+    g = wk.withColumn("__next", nxt)
+    last = F.coalesce(F.date_sub("__next", 7), F.col(week_col))
+    e = g.withColumn("__wk", F.explode(F.sequence(F.col(week_col), last, F.expr("INTERVAL 7 DAYS"))))
+    return e.select(F.col("__wk").alias(week_col),
+                    *[F.when(F.col("__wk") == F.col(week_col), F.col(o)).otherwise(F.lit(0)).alias(o)
+                      for o in values])
 
 
 def pivot_mean(df: DataFrame, row: str, col: str, value: str, col_values: list) -> DataFrame:

@@ -38,7 +38,7 @@ def weekly_revenue(spark, sf_dir):
 SELECT round(sum(total_revenue), 4) AS total_revenue, CAST(sum(total_trips) AS BIGINT) AS total_trips,
        round(avg(avg_fare), {R6}) AS avg_fare, round(avg(avg_rating), {R6}) AS avg_rating,
        round(avg(driver_utilization), {R6}) AS avg_utilization
-FROM daily_kpis""", ops=("E1",))
+FROM daily_kpis""", ops=("E1", "B20"))
 def kpi_cards(spark, sf_dir):
     d = B.daily_kpis(spark, sf_dir)
     c = kpi.kpi_cards(d, sums={"total_revenue": "total_revenue", "total_trips": "total_trips"},
