@@ -168,8 +168,9 @@ SELECT trip_type, round(quantile_cont(fare_usd, 0.95), {R6}) AS p95_fare, round(
 FROM trips WHERE trip_type IS NOT NULL AND fare_usd IS NOT NULL GROUP BY trip_type""", ops=("E12", "E13"))
 def fare_p95_by_type(spark, sf_dir):
     t = B.trips(spark, sf_dir).where(F.col("trip_type").isNotNull() & F.col("fare_usd").isNotNull())
-    return t.groupBy("trip_type").agg(F.round(F.percentile(F.col("fare_usd"), 0.95), R6).alias("p95_fare"),
-                                      F.round(F.median("fare_usd"), R6).alias("median_fare"))
+    q = stats.percentile(t, "fare_usd", [0.95, 0.5], group="trip_type", name="q")
+    return q.select("trip_type", F.round(F.col("q")[0], R6).alias("p95_fare"),
+                    F.round(F.col("q")[1], R6).alias("median_fare"))
 
 
 # ---------------------------------------------------------------- E13 / E14 / B25

@@ -112,8 +112,9 @@ SELECT trip_id, is_fraud, fraud_type, trip_count_today, cancellations_today, loc
          CASE WHEN trip_count_today >= 15 AND cancellations_today >= 3 THEN 'promo_abuse' END) AS patterns
 FROM fraud_trips, b""", ops=("C7", "K4", "B18", "B19", "B23"))
 def fraud_pattern_flags(spark, sf_dir):
+    from ridewise.operators.stats import percentile
     ft = B.fraud_trips(spark, sf_dir)
-    q = ft.agg(F.percentile(F.col("fare_distance_ratio"), [0.25, 0.75]).alias("q"))
+    q = percentile(ft, "fare_distance_ratio", [0.25, 0.75], name="q")
     bound = q.select((F.col("q")[1] + 1.5 * (F.col("q")[1] - F.col("q")[0])).alias("bound"))
     j = ft.crossJoin(F.broadcast(bound))
     return j.select("trip_id", "is_fraud", "fraud_type", "trip_count_today", "cancellations_today",

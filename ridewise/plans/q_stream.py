@@ -62,7 +62,8 @@ def stream_fraud_scoring(spark, sf_dir):
     # Batch side: materialise the scored trip table and freeze the bound.
     ft = B.fraud_trips(spark, sf_dir)
     table = cut_lineage(ft, "fraud-trips")
-    q = table.agg(F.percentile(F.col("fare_distance_ratio"), [0.25, 0.75]).alias("q")).first()["q"]
+    from ridewise.operators.stats import percentile
+    q = percentile(table, "fare_distance_ratio", [0.25, 0.75], name="q").first()["q"]
     bound = q[1] + 1.5 * (q[1] - q[0])
     src = table.inputFiles()[0].rsplit("/", 1)[0]
     stream = spark.readStream.schema(table.schema).parquet(src)

@@ -345,21 +345,50 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 KM_PER_DEGREE = 111.0
 
 
-def rider_day_features(t: DataFrame) -> DataFrame:
+def rider_day_features(t: DataFrame, skew_safe: bool = True, bucket_minutes: int = 10) -> DataFrame:
     """trip_count_today, cancellations_today, location_jump_km per rider-day.
 
-    Windows are partitioned by (rider, day): a day bounds every group, and
-    ``lag`` needs only a one-row frame, so a hot rider costs a sort, not memory.
+    ``skew_safe`` (default): a rider-day may hold a large share of all rows,
+    so no window or task is keyed by the rider-day alone.
+      * day counts: partial aggregation per (rider, day), joined back (AQE
+        splits a skewed join partition);
+      * previous pickup: ``lag`` inside (rider, day, time bucket of
+        ``bucket_minutes``); the first row of a bucket takes the last row of
+        the rider-day's previous non-empty bucket, found by a window over the
+        per-bucket last rows (at most 24*60/bucket_minutes rows per rider-day).
+    All keys are deterministic, so any recomputation gives the same result.
+    Without ``skew_safe`` both come from windows keyed by (rider, day).
     """
-    w_day = Window.partitionBy("customer_id", "date")
-    w_ord = w_day.orderBy("ts", "trip_id")
-    prev_lat = F.lag("pickup_lat").over(w_ord)
-    prev_lon = F.lag("pickup_lon").over(w_ord)
-    jump = F.sqrt((F.col("pickup_lat") - prev_lat) ** 2 + (F.col("pickup_lon") - prev_lon) ** 2) * KM_PER_DEGREE
-    return t.withColumns({
-        "trip_count_today": F.count(F.lit(1)).over(w_day),
-        "cancellations_today": F.sum((F.col("trip_type") == "error").cast("int")).over(w_day),
-        "location_jump_km": F.coalesce(round_half_up(jump, 2), F.lit(0.0))})
+    keys = ["customer_id", "date"]
+    order = ["ts", "trip_id"]
+    is_err = (F.col("trip_type") == "error").cast("int")
+
+    def jump_of(plat, plon):
+        j = F.sqrt((F.col("pickup_lat") - plat) ** 2 + (F.col("pickup_lon") - plon) ** 2) * KM_PER_DEGREE
+        return F.coalesce(round_half_up(j, 2), F.lit(0.0))
+
+    if not skew_safe:
+        w_day = Window.partitionBy(*keys)
+        w_ord = w_day.orderBy(*order)
+        return t.withColumns({
+            "trip_count_today": F.count(F.lit(1)).over(w_day),
+            "cancellations_today": F.sum(is_err).over(w_day),
+            "location_jump_km": jump_of(F.lag("pickup_lat").over(w_ord), F.lag("pickup_lon").over(w_ord))})
+    counts = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count_today"),
+                                  F.sum(is_err).alias("cancellations_today"))
+    bucket = ((F.hour("ts") * 60 + F.minute("ts")) / bucket_minutes).cast("int")
+    r = t.withColumn("__b", bucket)
+    wb = Window.partitionBy(*keys, "__b").orderBy(*order)
+    r = r.withColumns({"__plat": F.lag("pickup_lat").over(wb), "__plon": F.lag("pickup_lon").over(wb)})
+    lasts = (t.withColumn("__b", bucket).groupBy(*keys, "__b")
+              .agg(F.max_by(F.struct("pickup_lat", "pickup_lon"), F.struct(*order)).alias("__l")))
+    prev = lasts.select(*keys, "__b", F.lag("__l").over(Window.partitionBy(*keys).orderBy("__b")).alias("__p"))
+    r = r.join(prev, keys + ["__b"], "left")
+    first = F.col("__plat").isNull() & F.col("__p").isNotNull()
+    plat = F.when(first, F.col("__p.pickup_lat")).otherwise(F.col("__plat"))
+    plon = F.when(first, F.col("__p.pickup_lon")).otherwise(F.col("__plon"))
+    r = r.withColumn("location_jump_km", jump_of(plat, plon)).drop("__b", "__plat", "__plon", "__p")
+    return r.join(counts, keys)
 
 
 def fraud_trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,3 +168,36 @@ def test_point_lookup_found_flag(spark):
     ids = spark.createDataFrame([(1,), (2,)], "k int")
     got = {r["k"]: r["found"] for r in lookup.point_lookup(ids, dim, "k").collect()}
     assert got == {1: True, 2: False}
+
+
+def test_rider_day_features_skew_safe_equals_window(spark):
+    from ridewise.sources import bindings as B
+    from conftest import SF
+    t = B.trips(spark, SF)
+    cols = ["trip_id", "trip_count_today", "cancellations_today", "location_jump_km"]
+    a = sorted(tuple(r) for r in B.rider_day_features(t, skew_safe=False).select(*cols).collect())
+    for m in (1, 10, 60):
+        b = sorted(tuple(r) for r in B.rider_day_features(t, skew_safe=True, bucket_minutes=m).select(*cols).collect())
+        assert a == b
+
+
+def test_rider_day_features_hot_key(spark):
+    from ridewise.sources import bindings as B
+    import datetime as dt
+    rows = [(i, dt.datetime(2024, 1, 1, 0, 0) + dt.timedelta(minutes=i), 7, "view" if i % 3 else "error",
+             25.0 + i * 0.001, -80.0) for i in range(300)]
+    t = spark.createDataFrame(rows, "trip_id long, ts timestamp_ntz, customer_id long, trip_type string, "
+                                    "pickup_lat double, pickup_lon double").withColumn("date", F.to_date("ts"))
+    a = sorted(tuple(r) for r in B.rider_day_features(t, skew_safe=False).select("trip_id", "location_jump_km").collect())
+    b = sorted(tuple(r) for r in B.rider_day_features(t, True, 7).select("trip_id", "location_jump_km").collect())
+    assert a == b
+
+
+def test_percentile_auto_switches_to_sketch(spark):
+    from ridewise.operators import stats
+    df = spark.range(0, 1000).select(F.col("id").cast("double").alias("v"))
+    assert stats.use_approx(df, "v", max_rows=10) is True
+    assert stats.use_approx(df, "v") is False
+    exact = stats.percentile(df, "v", 0.5, approx=False).first()["p"]
+    approx = stats.percentile(df, "v", 0.5, approx=True).first()["p"]
+    assert exact == 499.5 and abs(approx - 499.5) <= 1
