@@ -78,3 +78,18 @@ def round_half_up(c, digits: int) -> Column:
     """
     p = float(10 ** digits)
     return F.floor(_c(c) * F.lit(p) + F.lit(0.5)) / F.lit(p)
+
+
+def money(c, digits: int = 0) -> Column:
+    """``$1,234`` style label (thousands separators, fixed decimals)."""
+    return F.concat(F.lit("$"), F.format_number(_c(c), digits))
+
+
+def percent(c, digits: int = 1) -> Column:
+    """``12.3%`` style label of a ratio."""
+    return F.concat(F.format_number(_c(c) * 100, digits), F.lit("%"))
+
+
+def hour_label(c) -> Column:
+    """``HH:00`` label of an hour."""
+    return F.format_string("%02d:00", _c(c))

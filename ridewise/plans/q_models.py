@@ -70,7 +70,7 @@ def demand_model_selection(spark, sf_dir):
     return metrics.crossJoin(top)
 
 
-@register("fare_predictions", None, ops=("J26", "B4", "C6", "A8"), heavy=True)
+@register("fare_predictions", None, ops=("J26", "B4", "C6", "A8", "I-json"), heavy=True)
 def fare_predictions(spark, sf_dir):
     _, best, models, codes = _pricing(spark, sf_dir)
     req = validate.validate(B.price_requests(spark, sf_dir), validate.price_request_rules())
@@ -84,7 +84,7 @@ def fare_predictions(spark, sf_dir):
     v = apply_codes(v, codes, "pickup_neighborhood", "pickup_enc", handle_invalid="error")
     v = apply_codes(v, codes, "dropoff_neighborhood", "dropoff_enc", handle_invalid="error")
     out = forecast.predict_fares(models[best], v)
-    return out.select("request_id", "response.*")
+    return out.select("request_id", "response.*", "response_json")
 
 
 @register("scenario_demand_forecast", None, ops=("J27", "D9"), heavy=True)

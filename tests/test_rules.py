@@ -66,3 +66,17 @@ def test_compatibility_and_rating(spark):
     assert v == 1.0
     df = spark.createDataFrame([(0.625,), (0.375,), (0.0,), (1.0,)], "x double")
     assert [r[0] for r in df.select(rating_from_compatibility("x")).collect()] == [4, 2, 1, 5]
+
+
+def test_display_formats_and_json(spark):
+    from ridewise.functions.exprs import hour_label, money, percent
+    df = spark.createDataFrame([(764987.59, 0.918472, 7)], "rev double, util double, h int")
+    r = df.select(money("rev").alias("m"), percent("util").alias("p"), hour_label("h").alias("l")).first()
+    assert (r["m"], r["p"], r["l"]) == ("$764,988", "91.8%", "07:00")
+    resp = spark.createDataFrame([(208.26, 23, 4, 8.5, "rainy", 2.5, 0.3)],
+                                 "model_price double, hour int, day_of_week int, distance_km double, weather string, "
+                                 "event_demand_multiplier double, driver_supply_ratio double")
+    import json
+    j = json.loads(resp.select(F.to_json(surge_explanation()).alias("j")).first()["j"])
+    assert j["surge_reason"] == "late night, rainy weather, local event"
+    assert j["breakdown"]["surge_multiplier"] == 6.18
