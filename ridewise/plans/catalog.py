@@ -7,11 +7,14 @@ iterative operators, which get a rows-only check plus invariant tests).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridewise.session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -31,7 +34,13 @@ def register(name: str, sql: str | None = None, ops: tuple[str, ...] = (), heavy
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = QuerySpec(name, fn, sql, tuple(ops), heavy)
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)      # Python workers must import ridewise
+            return fn(spark, sf_dir)
+
+        REGISTRY[name] = QuerySpec(name, run, sql, tuple(ops), heavy)
         return fn
     return deco
 

@@ -79,3 +79,32 @@ def env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ridewise`` importable in Python workers (pandas UDFs,
+    mapInPandas, applyInPandas*), whatever the driver's working directory:
+    the package is zipped once per application and added with
+    ``addPyFile`` (the equivalent of ``--py-files``); Spark distributes it."""
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    fd, path = tempfile.mkstemp(prefix="ridewise-pkg-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
