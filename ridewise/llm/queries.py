@@ -12,8 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewise.llm import exact_dedup, line_dedup, substring_dedup
-from ridewise.llm.common import NULL_ID, read_table, ship_package
+import public_tokenizers
+
+from ridewise.llm import (decontaminate, exact_dedup, line_dedup, link_graph, near_dedup, packing, quality_classifier,
+                          substring_dedup, token_records, tool_calls)
+from ridewise.llm.common import NULL_ID, read_table, scratch_path, ship_package
+
+#: vocabulary and end id of the token queries; the file is never copied
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +83,131 @@ FROM d LEFT JOIN kept USING (doc_id)""")
 def op10_substring_dedup(spark, sf_dir):
     out = substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
     return out.select(_id().alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op2_decontaminate")
+def op2_decontaminate(spark, sf_dir):
+    out = decontaminate.flag_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select(_id().alias("doc_id"), "contaminated", "items", "coverage")
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, read_table(spark, sf_dir, "labels"))
+    keep = {"doc_id": F.col("doc_id").cast("long"), "held_out": quality_classifier.fold("doc_id") == 0}
+    return (quality_classifier.score(docs, model, keep=keep)
+            .select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+                    "difference", "ratio"))
+
+
+#: The tool protocol read into ``conversations``: a user's turn calls ``reply``,
+#: the assistant's next turn is its result.
+REPLY_SCHEMA = {"reply": {"text": {"type": "string", "required": True, "minLength": 1, "maxLength": 2000},
+                          "turn": {"type": "integer", "required": True, "minimum": 0}}}
+
+
+def conversation_messages(conv):
+    mid = lambda t: F.concat(F.col("conv_id").cast("string"), F.lit(":"), t.cast("string"))
+    kind = F.when(F.col("role") == "user", "call").when(F.col("role") == "assistant", "result").otherwise("note")
+    args = F.to_json(F.struct(F.col("turn"), F.col("text")))
+    return conv.select(F.col("conv_id").alias("thread"), F.col("turn").alias("seq"), kind.alias("kind"),
+                       mid(F.col("turn")).alias("id"), mid(F.col("turn") - 1).alias("parent_id"),
+                       F.when(F.col("role") == "assistant", mid(F.col("turn") - 1)).alias("call_id"),
+                       F.when(F.col("role") == "user", "reply").alias("name"),
+                       F.when(F.col("role") == "user", args).otherwise(F.col("text")).alias("payload"))
+
+
+@query("op4_tool_calls", r"""
+WITH RECURSIVE m AS (SELECT conv_id, turn, role, text FROM conversations),
+lv AS (SELECT conv_id, turn, 0::BIGINT AS level FROM m a
+       WHERE NOT EXISTS (SELECT 1 FROM m b WHERE b.conv_id = a.conv_id AND b.turn = a.turn - 1)
+       UNION ALL SELECT m.conv_id, m.turn, lv.level + 1 FROM lv JOIN m ON m.conv_id = lv.conv_id AND m.turn = lv.turn + 1),
+u AS (SELECT * FROM m WHERE role = 'user'), a AS (SELECT * FROM m WHERE role = 'assistant'),
+c AS (SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer, a.turn AS result_seq,
+             CASE WHEN a.conv_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status
+      FROM u LEFT JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1),
+j AS (SELECT conv_id, turn, status,
+             list_filter([CASE WHEN length(question) > 2000 THEN 'large text' END, CASE WHEN question IS NULL THEN 'missing text' END,
+                          CASE WHEN question = '' THEN 'small text' END], lambda x: x IS NOT NULL) AS errors,
+             '{"arguments":{' || CASE WHEN question IS NULL THEN '' ELSE '"text":' || to_json(question)::VARCHAR || ',' END
+             || '"turn":' || turn || '}' || CASE WHEN answer IS NULL THEN '' ELSE ',"content":' || to_json(answer)::VARCHAR END
+             || ',"id":"' || conv_id || ':' || turn || '","name":"reply"'
+             || CASE WHEN result_seq IS NULL THEN '' ELSE ',"result_seq":' || result_seq END
+             || ',"seq":' || turn || ',"status":"' || status || '"}' AS record FROM c
+      UNION ALL
+      SELECT conv_id, turn, 'orphan', NULL,
+             '{' || CASE WHEN text IS NULL THEN '' ELSE '"content":' || to_json(text)::VARCHAR || ',' END
+             || '"id":"' || conv_id || ':' || turn || '","result_seq":' || turn || ',"seq":' || turn || ',"status":"orphan"}'
+      FROM a WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.conv_id = a.conv_id AND u.turn = a.turn - 1))
+SELECT j.conv_id, j.turn, status, level, len(errors) = 0 AS valid, errors, record
+FROM j JOIN lv ON lv.conv_id = j.conv_id AND lv.turn = j.turn""")
+def op4_tool_calls(spark, sf_dir):
+    out = tool_calls.link_tool_calls(conversation_messages(read_table(spark, sf_dir, "conversations")), REPLY_SCHEMA)
+    return out.select(F.col("thread").alias("conv_id"), F.col("seq").alias("turn"), "status", "level", "valid", "errors", "record")
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark, sf_dir):
+    out = near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
+    return out.select(_id().alias("doc_id"), _id("class_id").alias("class_id"), "class_size", "kept")
+
+
+@query("op6_token_records")
+def op6_token_records(spark, sf_dir):
+    path = scratch_path(spark, "token-records")
+    token_records.write_records(read_table(spark, sf_dir, "documents"), path, TOKENIZER, END_ID)
+    back = token_records.read_records(spark, path)
+    return back.select(_id().alias("doc_id"), F.col("start").cast("long").alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
+             ("block", "net/fr/")]
+DAMPING, ROUNDS = 0.85, 20
+
+
+@query("op8_link_graph", r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, coalesce(html, '') AS html FROM pages),
+rules AS (SELECT * FROM (VALUES """ + ", ".join(f"('{r}', '{v}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}')" for v, r in URL_RULES)
+       + r""") t(rule, v, rule_host, rule_path)),
+judged AS (SELECT page_id, host, path,
+    (SELECT max_by(rule, length(rule)) FROM rules WHERE (host = rule_host OR ends_with(host, '.' || rule_host))
+       AND starts_with(path, rule_path)) AS rule FROM p),
+seeds AS (SELECT host, count(*) FILTER (v = 'allow') AS good, count(*) FILTER (v = 'block') AS bad
+          FROM judged LEFT JOIN rules USING (rule) WHERE host <> '' GROUP BY host),
+links AS (SELECT src, dst, count(*)::DOUBLE AS weight FROM (
+    SELECT host AS src, translate(unnest(regexp_extract_all(html, '""" + link_graph.LINK.replace("'", "''") + r"""', 1)),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM p WHERE host <> '')
+    WHERE src <> dst GROUP BY ALL),
+parts AS (SELECT DISTINCT string_split(host, '.') AS l FROM (SELECT host FROM p WHERE host <> '' UNION SELECT dst FROM links)),
+chain AS (SELECT DISTINCT array_to_string(l[i:], '.') AS src FROM (SELECT l, unnest(range(1, len(l) + 1)) AS i FROM parts)),
+up AS (SELECT src, regexp_extract(src, '(?s)^[^.]*\.(.*)$', 1) AS dst FROM chain WHERE regexp_extract(src, '(?s)^[^.]*\.(.*)$', 1) <> ''),
+edges AS (SELECT src, dst, sum(weight) AS weight FROM (SELECT * FROM links UNION ALL SELECT src, dst, 1.0 FROM up
+          UNION ALL SELECT dst, src, 1.0 FROM up) GROUP BY ALL),
+ways AS (SELECT 't' AS kind, src, dst, weight FROM edges UNION ALL SELECT 'd', dst, src, weight FROM edges),
+flow AS (SELECT kind, src, dst, weight / sum(weight) OVER (PARTITION BY kind, src) AS p FROM ways),
+seed AS (SELECT 't' AS kind, host, good::DOUBLE AS w FROM seeds WHERE good > 0 UNION ALL SELECT 'd', host, bad::DOUBLE FROM seeds WHERE bad > 0),
+start AS (SELECT kind, host, w / sum(w) OVER (PARTITION BY kind) AS s FROM seed),
+""" + link_graph.propagation_sql(ROUNDS, DAMPING) + r""",
+hosts AS (SELECT host, round(coalesce(sum(x) FILTER (kind = 't'), 0), 12) AS trust,
+                 round(coalesce(sum(x) FILTER (kind = 'd'), 0), 12) AS distrust FROM score GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
+       round(coalesce(trust, 0), 9) AS trust, round(coalesce(distrust, 0), 9) AS distrust
+FROM judged LEFT JOIN rules USING (rule) LEFT JOIN hosts USING (host)""")
+def op8_link_graph(spark, sf_dir):
+    out = link_graph.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES, damping=DAMPING, rounds=ROUNDS)
+    return out.select("page_id", "host", "path", "rule", "verdict", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
+
+
+SEQUENCE = 4096
+
+
+@query("op9_packing")
+def op9_packing(spark, sf_dir):
+    out = packing.pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, END_ID, SEQUENCE)
+    return out.withColumn("doc_id", _id()).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
