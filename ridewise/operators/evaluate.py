@@ -40,9 +40,9 @@ def roc_auc(df: DataFrame, label: str, score: str, distributed: bool = True) ->
     else:
         w = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, 0)
         c = g.withColumn("__cneg", F.sum("neg").over(w))
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")     # products of counts pass a long
     below = F.col("__cneg") - F.col("neg")
-    return c.agg((F.sum(F.col("pos") * (below + F.col("neg") * 0.5))
-                  / (F.sum("pos") * F.sum("neg"))).alias("auc"),
+    return c.agg(F.try_divide(F.sum(pos * (below + neg * 0.5)), F.sum(pos) * F.sum(neg)).alias("auc"),
                  F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"))
 
 

@@ -109,7 +109,7 @@ def period_change(df: DataFrame, date_col: str, value: str,
     d = F.col(date_col)
     in1 = (d >= F.lit(first[0]).cast("date")) & (d <= F.lit(first[1]).cast("date"))
     in2 = (d >= F.lit(second[0]).cast("date")) & (d <= F.lit(second[1]).cast("date"))
-    out = df.agg(F.sum(F.when(in1, F.col(value))).alias("first_total"),
+    out = df.where(in1 | in2).agg(F.sum(F.when(in1, F.col(value))).alias("first_total"),
                  F.sum(F.when(in2, F.col(value))).alias("second_total"))
     return out.withColumn("pct_change",
                           F.try_divide(F.col("second_total") - F.col("first_total"), F.col("first_total")) * 100)

@@ -45,16 +45,19 @@ def stratified_split(df: DataFrame, key: str, label: str, test_frac: float = 0.2
             .groupBy(label).agg(F.min(F.struct("__b", "__cum", "__cnt", "__k")).alias("__s"))
             .select(label, F.col("__s.__b").alias("__bb"),
                     (F.col("__s.__k") - (F.col("__s.__cum") - F.col("__s.__cnt"))).alias("__take")))
-    j = h.join(F.broadcast(bnd), label, "left")
-    # rank inside each (class, bucket) group: groups hold ~n / 2^bits rows,
-    # so no group is hot; only the boundary bucket's ranks matter
-    w = Window.partitionBy(label, "__b").orderBy("__h", key)
-    rn = F.row_number().over(w)
+    # only the boundary bucket's rows (about n / 2^bits a class) are ranked; the
+    # last one taken is the class's cut, and every row is compared with it
+    edge = h.join(F.broadcast(bnd), label).where(F.col("__b") == F.col("__bb")).select(
+        label, "__take", F.struct(F.col("__h"), F.col(key)).alias("__cut"))
+    w = Window.partitionBy(label).orderBy("__cut")
+    cut = edge.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == F.col("__take")).select(label, "__cut")
+    # one row a class
+    j = h.join(F.broadcast(bnd.join(cut, label, "left")), label, "left")
     in_test = F.when(F.col("__b") < F.col("__bb"), F.lit(True)) \
                .when(F.col("__b") > F.col("__bb"), F.lit(False)) \
-               .otherwise(rn <= F.col("__take"))
+               .otherwise(F.coalesce(F.struct(F.col("__h"), F.col(key)) <= F.col("__cut"), F.lit(False)))
     return (j.withColumn(out, F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
-             .drop("__h", "__b", "__bb", "__take"))
+             .drop("__h", "__b", "__bb", "__take", "__cut"))
 
 
 def hash_sample(df: DataFrame, key: str | list[str], n: int) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridewise.session import cut_lineage
+
 
 def _order(cols: list[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -19,13 +21,16 @@ def prefix_sums(df: DataFrame, order_cols: list[str], values: dict[str, str],
                 num_partitions: int | None = None) -> DataFrame:
     """Distributed running sums.
 
-    1. range-partition by the order key; 2. running sums inside each
-       partition; 3. per-partition totals (one row per partition) turned into
-       offsets with a tiny window; 4. broadcast the offsets back.
+    1. range-partition by the order key and write the rows with their
+       partition number, so both later reads see the same partitions (two
+       plans over one ``repartitionByRange`` may each sample bounds of their
+       own); 2. running sums inside each partition; 3. per-partition totals
+       (one row per partition) turned into offsets with a tiny window;
+       4. broadcast the offsets back.
     The order key must be unique (ties have no defined running order).
     """
     n = num_partitions or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
-    r = df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id())
+    r = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id()), "ranges")
     w_loc = Window.partitionBy("__pid").orderBy(*_order(order_cols)).rowsBetween(Window.unboundedPreceding, 0)
     loc = r.select("*", *[F.sum(c).over(w_loc).alias(f"__loc_{o}") for o, c in values.items()])
     tot = r.groupBy("__pid").agg(*[F.sum(c).alias(f"__tot_{o}") for o, c in values.items()])

@@ -48,5 +48,5 @@ def register(name: str, sql: str | None = None, ops: tuple[str, ...] = (), heavy
 def load_all() -> dict[str, QuerySpec]:
     """Import every query module (registration happens at import)."""
     from ridewise.plans import (q_kpi, q_rules, q_geo, q_ml_eval, q_matching,  # noqa: F401
-                                q_models, q_stream)
+                                q_models, q_stream, q_io)
     return REGISTRY

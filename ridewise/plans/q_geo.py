@@ -99,13 +99,12 @@ def zone_bubbles(spark, sf_dir):
                     F.round("radius", R6).alias("radius"))
 
 
-@register("zone_mean_demand_night", with_(trips_cte(), geo_trips_cte(), zones_cte()) + f"""
-, s AS (SELECT neighborhood, avg(demand_score) AS m FROM geo_trips WHERE hour = 4 AND day_of_week = 6
-        AND neighborhood IS NOT NULL GROUP BY neighborhood)
+@register("zone_mean_demand", with_(trips_cte(), geo_trips_cte(), zones_cte()) + f"""
+, s AS (SELECT neighborhood, avg(demand_score) AS m FROM geo_trips WHERE neighborhood IS NOT NULL GROUP BY neighborhood)
 SELECT z.zone AS neighborhood, round(s.m, {R6}) AS avg_demand FROM zones z LEFT JOIN s ON z.zone = s.neighborhood""",
           ops=("E19", "B3"))
-def zone_mean_demand_night(spark, sf_dir):
-    g = B.geo_trips(spark, sf_dir).where((F.col("hour") == 4) & (F.col("day_of_week") == 6))
+def zone_mean_demand(spark, sf_dir):
+    g = B.geo_trips(spark, sf_dir)
     z = B.zones(spark).select(F.col("zone").alias("neighborhood"))
     m = geo.zone_means(g, z, "neighborhood", "demand_score")
     return m.select("neighborhood", F.round("avg_value", R6).alias("avg_demand"))

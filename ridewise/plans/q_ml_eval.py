@@ -9,6 +9,7 @@ from ridewise.operators import evaluate, kpi, scale, split, stats
 from ridewise.plans.catalog import register
 from ridewise.plans.sql_views import (D, drivers_cte, fraud_trips_cte, interactions_cte, labelled_cte, pm,
                                       rides_cte, trips_cte, with_)
+from ridewise.session import cut_lineage
 from ridewise.sources import bindings as B
 
 R6 = 6
@@ -91,7 +92,7 @@ SELECT s.trip_id, s.split, {cols} FROM s, m"""
 @register("fraud_standardized", _standard_sql(), ops=("J5", "J2"))
 def fraud_standardized(spark, sf_dir):
     f = B.fraud_trips(spark, sf_dir).select("trip_id", "is_fraud", *K.FRAUD_FEATURES)
-    s = split.stratified_split(f, "trip_id", "is_fraud", 0.2)
+    s = cut_lineage(split.stratified_split(f, "trip_id", "is_fraud", 0.2), "split")      # read by fit and transform
     m = scale.standard_fit(s.where(F.col("split") == "train"), K.FRAUD_FEATURES)
     t = scale.standard_transform(s, m, K.FRAUD_FEATURES)
     return t.select("trip_id", "split", *[F.round(c, R6).alias(c) for c in K.FRAUD_FEATURES])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ridewise import constants as K
 from ridewise.functions import calendar as cal
+from ridewise.functions.exprs import round_half_up
 from ridewise.functions.encode import apply_codes, fit_alphabetical
 from ridewise.operators import anomaly, evaluate, forecast, geo, scale, split, validate
 from ridewise.plans.catalog import register
@@ -20,6 +21,12 @@ from ridewise.session import cut_lineage
 MAX_ITER = 10
 
 
+def by_importance():
+    """The table of feature importances as one array, largest first, ties by name."""
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("importance")).alias("o"), "feature", "importance")))
+    return F.transform(ordered, lambda x: F.struct(x["feature"].alias("feature"), x["importance"].alias("importance")))
+
+
 def _encoded_rides(spark, sf_dir):
     r = B.rides(spark, sf_dir)
     codes = fit_alphabetical(r, ["pickup_neighborhood", "dropoff_neighborhood"], "code")
@@ -41,7 +48,7 @@ def _pricing(spark, sf_dir):
 def pricing_model_selection(spark, sf_dir):
     metrics, best, models, _ = _pricing(spark, sf_dir)
     fi = forecast.feature_importance(spark, models[best], K.PRICING_FEATURES)
-    top = fi.groupBy().agg(F.collect_list(F.struct("feature", "importance")).alias("best_feature_importance"))
+    top = fi.groupBy().agg(by_importance().alias("best_feature_importance"))
     return metrics.crossJoin(top)
 
 
@@ -66,7 +73,7 @@ def _demand(spark, sf_dir):
 def demand_model_selection(spark, sf_dir):
     metrics, best, models, _ = _demand(spark, sf_dir)
     fi = forecast.feature_importance(spark, models[best], K.DEMAND_FEATURES)
-    top = fi.groupBy().agg(F.collect_list(F.struct("feature", "importance")).alias("best_feature_importance"))
+    top = fi.groupBy().agg(by_importance().alias("best_feature_importance"))
     return metrics.crossJoin(top)
 
 
@@ -80,7 +87,7 @@ def fare_predictions(spark, sf_dir):
               .withColumn("is_night", cal.is_night("hour"))
               .withColumn("is_rush_hour", cal.is_rush_hour("hour"))
               .withColumn("demand_supply_ratio",
-                          F.round(F.col("pending_requests") / (F.col("active_drivers") + 1), 2)))
+                          round_half_up(F.col("pending_requests") / (F.col("active_drivers") + 1), 2)))
     v = apply_codes(v, codes, "pickup_neighborhood", "pickup_enc", handle_invalid="error")
     v = apply_codes(v, codes, "dropoff_neighborhood", "dropoff_enc", handle_invalid="error")
     out = forecast.predict_fares(models[best], v)
@@ -143,10 +150,10 @@ def isolation_forest_scores(spark, sf_dir):
 
 def _ae(spark, fit, frames, z, epochs=K.AE_EPOCHS):
     normal = fit.where(F.col("is_fraud") == 0)   # B6: train on normal rows
-    w, losses = anomaly.fit_autoencoder(normal, z, epochs=epochs)
-    train_err = anomaly.reconstruction_error(normal, z, w)
+    net, losses = anomaly.fit_autoencoder(normal, z, epochs=epochs)
+    train_err = anomaly.reconstruction_error(normal, z, net)
     thr_src = cut_lineage(train_err.select("recon_error"))
-    return [anomaly.autoencoder_scores(thr_src, anomaly.reconstruction_error(fr, z, w)) for fr in frames], losses
+    return [anomaly.autoencoder_scores(thr_src, anomaly.reconstruction_error(fr, z, net)) for fr in frames], losses
 
 
 @register("autoencoder_scores", None, ops=("J18", "J19", "B6", "E12", "B23"), heavy=True)

@@ -12,6 +12,7 @@ from ridewise.plans.catalog import register
 from ridewise.plans.sql_views import (CARS, D, compatibility_sql, customers_cte, demand_factor_cte,
                                       drivers_cte, fraud_trips_cte, geo_trips_cte, interactions_cte,
                                       pricing_boost_cte, rhu, rides_cte, trips_cte, with_)
+from ridewise.session import cut_lineage
 from ridewise.sources import bindings as B
 
 # ---------------------------------------------------------------- C1 + B11 B17 B27 C3
@@ -113,7 +114,7 @@ SELECT trip_id, is_fraud, fraud_type, trip_count_today, cancellations_today, loc
 FROM fraud_trips, b""", ops=("C7", "K4", "B18", "B19", "B23"))
 def fraud_pattern_flags(spark, sf_dir):
     from ridewise.operators.stats import percentile
-    ft = B.fraud_trips(spark, sf_dir)
+    ft = cut_lineage(B.fraud_trips(spark, sf_dir), "fraud-trips")       # read for the bound and for the flags
     q = percentile(ft, "fare_distance_ratio", [0.25, 0.75], name="q")
     bound = q.select((F.col("q")[1] + 1.5 * (F.col("q")[1] - F.col("q")[0])).alias("bound"))
     j = ft.crossJoin(F.broadcast(bound))
@@ -265,12 +266,12 @@ def interaction_missing_drivers(spark, sf_dir):
 # ---------------------------------------------------------------- D4 score lookup with default
 
 @register("driver_score_default", with_(drivers_cte(), interactions_cte(False)) + """
-, s AS (SELECT driver_id, avg(explicit_rating) AS score FROM interactions WHERE completed = 1 GROUP BY driver_id)
+, s AS (SELECT driver_id, avg(explicit_rating) AS score FROM interactions GROUP BY driver_id)
 SELECT d.driver_id, round(coalesce(s.score, 0.0), 6) AS score
 FROM drivers d LEFT JOIN s ON d.driver_id = s.driver_id""", ops=("D4",))
 def driver_score_default(spark, sf_dir):
     i = B.interactions(spark, sf_dir, with_compatibility=False)
-    s = i.where(F.col("completed") == 1).groupBy("driver_id").agg(F.avg("explicit_rating").alias("score"))
+    s = i.groupBy("driver_id").agg(F.avg("explicit_rating").alias("score"))
     d = B.drivers(spark, sf_dir).select("driver_id")
     out = lookup.lookup_with_default(d, s, ["driver_id"], "score", 0.0)
     return out.select("driver_id", F.round("score", 6).alias("score"))

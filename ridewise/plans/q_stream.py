@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ridewise import constants as K
 from ridewise.plans.catalog import register
 from ridewise.plans.sql_views import D, fraud_trips_cte, rhu, rides_cte, trips_cte, with_
-from ridewise.session import cut_lineage
+from ridewise.session import cut_lineage, scratch_path
 from ridewise.sources import bindings as B
 from ridewise.streaming import jobs
 
@@ -20,14 +20,15 @@ R6 = 6
                sum(completed) AS completed, round(sum(fare_usd), {R6}) AS fares
         FROM trips GROUP BY 1, 2)
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, neighborhood, requests,
-       CAST(completed AS BIGINT) AS completed, fares
+       CAST(completed AS BIGINT) AS completed, fares, {rhu('requests / (completed + 1)', 2)} AS demand_supply_ratio
 FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM trips) - INTERVAL 10 MINUTE""",
           ops=("K1", "E5"))
 def stream_zone_window_demand(spark, sf_dir):
     t = B.trips_from_events(jobs.event_stream(spark, sf_dir))
     out = jobs.run_available_now(jobs.zone_window_demand(t), "k1")
     return out.select("window_start", "window_end", "neighborhood", "requests",
-                      F.col("completed").cast("bigint").alias("completed"), F.round("fares", R6).alias("fares"))
+                      F.col("completed").cast("bigint").alias("completed"), F.round("fares", R6).alias("fares"),
+                      "demand_supply_ratio")
 
 
 def _k2_sql():
@@ -61,12 +62,13 @@ FROM fraud_trips, b""", ops=("K3", "C7"))
 def stream_fraud_scoring(spark, sf_dir):
     # Batch side: materialise the scored trip table and freeze the bound.
     ft = B.fraud_trips(spark, sf_dir)
-    table = cut_lineage(ft, "fraud-trips")
+    path = scratch_path(spark, "fraud-trips")
+    ft.write.parquet(path)
+    table = spark.read.parquet(path)
     from ridewise.operators.stats import percentile
     q = percentile(table, "fare_distance_ratio", [0.25, 0.75], name="q").first()["q"]
     bound = q[1] + 1.5 * (q[1] - q[0])
-    src = table.inputFiles()[0].rsplit("/", 1)[0]
-    stream = spark.readStream.schema(table.schema).parquet(src)
+    stream = spark.readStream.schema(table.schema).parquet(path)
     return jobs.run_available_now(jobs.fraud_scoring(stream, bound), "k3")
 
 
@@ -76,7 +78,7 @@ def stream_fraud_scoring(spark, sf_dir):
         FROM trips WINDOW w AS (PARTITION BY customer_id, date ORDER BY ts, trip_id))
 SELECT trip_id, customer_id, date, CAST(rn AS INTEGER) AS trips_so_far, CAST(c AS INTEGER) AS cancellations_so_far,
        coalesce({rhu(f'sqrt((pickup_lat - plat) * (pickup_lat - plat) + (pickup_lon - plon) * (pickup_lon - plon)) * {D(111.0)}', 2)}, 0.0) AS location_jump_km
-FROM o""", ops=("K4",))
+FROM o WHERE date_trunc('milliseconds', ts) < date_trunc('milliseconds', (SELECT max(ts) FROM trips)) - INTERVAL 10 MINUTE""", ops=("K4",))
 def stream_rider_day_state(spark, sf_dir):
     t = B.trips_from_events(jobs.event_stream(spark, sf_dir))
     return jobs.run_available_now(jobs.rider_day_running(t), "k4")

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridewise.operators.anomaly import Network, leaf_lengths
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
              date_format: str = "yyyy-MM-dd", timestamp_format: str = "yyyy-MM-dd HH:mm:ss",
@@ -73,18 +75,19 @@ def load_forest(spark: SparkSession, path: str) -> dict:
     meta = json.loads(rows[0]["meta"])
     trees = [(np.array(r["feat"], dtype=np.int32), np.array(r["thr"]), np.array(r["left"], dtype=np.int32),
               np.array(r["right"], dtype=np.int32), np.array(r["size"], dtype=np.int32)) for r in rows]
-    return {"trees": trees, "psi": meta["psi"], "features": meta["features"]}
+    return {"trees": trees, "leaf": leaf_lengths(trees), "psi": meta["psi"], "features": meta["features"]}
 
 
-def save_weights(spark: SparkSession, weights: list, path: str) -> None:
-    """A6 for the autoencoder: one row per weight array with its shape."""
-    rows = [(i, list(w.shape), w.ravel().tolist()) for i, w in enumerate(weights)]
-    spark.createDataFrame(rows, "i int, shape array<int>, values array<double>").write.mode("overwrite").parquet(path)
+def save_network(spark: SparkSession, network: Network, path: str) -> None:
+    """A6 for the autoencoder: one row per layer."""
+    rows = [(i, list(m.shape), m.ravel().tolist(), c.tolist()) for i, (m, c) in enumerate(network.layers)]
+    spark.createDataFrame(rows, "layer int, shape array<int>, weights array<double>, bias array<double>") \
+         .write.mode("overwrite").parquet(path)
 
 
-def load_weights(spark: SparkSession, path: str) -> list:
-    rows = spark.read.parquet(path).orderBy("i").collect()
-    return [np.array(r["values"]).reshape(r["shape"]) for r in rows]
+def load_network(spark: SparkSession, path: str) -> Network:
+    rows = spark.read.parquet(path).orderBy("layer").collect()
+    return Network([(np.array(r["weights"]).reshape(r["shape"]), np.array(r["bias"])) for r in rows])
 
 
 def cached(df: DataFrame) -> DataFrame:

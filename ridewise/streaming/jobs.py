@@ -3,8 +3,9 @@
 K1  zone demand per event-time window (watermark, tumbling window, append)
 K2  stateless price scoring of a request stream (stream-static join)
 K3  fraud-pattern scoring with bounds frozen from the batch table
-K4  per-rider, per-day running features with ``applyInPandasWithState``
-    (event-time timeout drops a rider-day's state once the day is over)
+K4  per-rider, per-day running features with ``applyInPandasWithState``; a
+    row is emitted once the watermark has passed it, so rows that arrive out
+    of order within the watermark count in event-time order
 
 Every job reads a file stream, writes a parquet sink and keeps its
 checkpoint in the shared folder (``spark.checkpoint.dir``), so a restarted
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ridewise.functions.exprs import round_half_up
 from ridewise.functions.rules import fraud_patterns, surge_explanation
 from ridewise.session import scratch_path
 from ridewise.sources import bindings as B
@@ -29,48 +31,58 @@ WATERMARK = "10 minutes"
 WINDOW = "1 hour"
 
 
+def _is_dir(spark: SparkSession, path: str) -> bool:
+    """Asks the path's own store (HDFS, S3, local, ...)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_files: int | None = None) -> DataFrame:
     """File stream over a table directory; schema taken from the batch table."""
-    import os
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    if os.path.isdir(path):
+    if _is_dir(spark, path):
         return r.parquet(path)
     # a single-file table: stream its directory, filtered to that file name
     return r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
-                      timeout_s: int = 600) -> DataFrame:
+                      timeout_s: int | None = None) -> DataFrame:
+    """Runs the job over all data present and reads the sink. No time limit
+    unless one is given."""
     spark = df.sparkSession
     sink = scratch_path(spark, f"{name}-sink")
     ckpt = scratch_path(spark, f"{name}-ckpt")
     q = (df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
            .outputMode(output_mode).trigger(availableNow=True).start())
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"streaming job {name} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink)
+    return spark.read.schema(df.schema).parquet(sink)
 
 
 # --------------------------------------------------------------------------- K1
 
 def zone_window_demand(trips: DataFrame) -> DataFrame:
-    """K1: requests, completions and fares per (hour window, zone), with a
-    10-minute watermark; only closed windows are emitted (append)."""
+    """K1: requests, completions, fares and requests per completed trip (plus
+    one, as in B17) per (hour window, zone), with a 10-minute watermark; a
+    window is emitted once the watermark has closed it (append)."""
     t = trips.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", WATERMARK)
     g = (t.groupBy(F.window("event_time", WINDOW).alias("w"), "neighborhood")
           .agg(F.count(F.lit(1)).alias("requests"), F.sum("completed").alias("completed"),
-               F.sum("fare_usd").alias("fares"), F.approx_count_distinct("customer_id").alias("approx_riders")))
+               F.sum("fare_usd").alias("fares")))
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "neighborhood", "requests",
-                    "completed", "fares", "approx_riders")
+                    "completed", "fares",
+                    round_half_up(F.col("requests") / (F.col("completed") + 1), 2).alias("demand_supply_ratio"))
 
 
 # --------------------------------------------------------------------------- K2
@@ -98,58 +110,57 @@ K4_OUT = T.StructType([
     T.StructField("cancellations_so_far", T.IntegerType()), T.StructField("location_jump_km", T.DoubleType()),
 ])
 K4_STATE = T.StructType([
-    T.StructField("day", T.DateType()), T.StructField("n", T.IntegerType()), T.StructField("cancels", T.IntegerType()),
+    T.StructField("n", T.IntegerType()), T.StructField("cancels", T.IntegerType()),
     T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()),
+    # rows the watermark has not passed yet
+    T.StructField("ts", T.ArrayType(T.LongType())), T.StructField("ids", T.ArrayType(T.LongType())),
+    T.StructField("errors", T.ArrayType(T.IntegerType())), T.StructField("lats", T.ArrayType(T.DoubleType())),
+    T.StructField("lons", T.ArrayType(T.DoubleType())),
 ])
 KM_PER_DEGREE = 111.0
 
 
-def _rider_state(key, pdfs, state):
-    """Running per-rider-day counters and the jump from the previous pickup.
-
-    Keyed by rider; the state holds the rider's current day, so counters
-    restart when the day changes. A micro-batch's rows of one rider are
-    processed vectorised (sort, per-day cumulative counts, shifted
-    coordinates)."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    if len(pdf) == 0:
+def _rider_day_state(key, pdfs, state):
+    """One rider-day. New rows join the held ones; rows the watermark has passed
+    are emitted in event-time order and leave their counts behind; the others
+    wait, with a timeout at the earliest of them."""
+    if state.exists:
+        n, cancels, lat, lon, *held = state.get
+    else:
+        n, cancels, lat, lon, held = 0, 0, None, None, [[], [], [], [], []]
+    rows = pd.DataFrame(dict(zip(("ms", "id", "err", "lat", "lon"), held)))
+    fresh = [pd.DataFrame({"ms": p["ms"], "id": p["trip_id"], "err": (p["trip_type"] == "error").astype(int),
+                           "lat": p["pickup_lat"], "lon": p["pickup_lon"]}) for p in pdfs if len(p)]
+    rows = pd.concat([r for r in [rows, *fresh] if len(r)] or [rows], ignore_index=True)
+    rows = rows.sort_values(["ms", "id"], kind="stable", ignore_index=True)
+    ready = int((rows["ms"] < state.getCurrentWatermarkMs()).sum())
+    out, wait = rows.iloc[:ready], rows.iloc[ready:]
+    if ready:
+        plat, plon = out["lat"].shift(), out["lon"].shift()
+        if lat is not None:
+            plat.iloc[0], plon.iloc[0] = lat, lon
+        d = np.sqrt((out["lat"] - plat) * (out["lat"] - plat) + (out["lon"] - plon) * (out["lon"] - plon)) * KM_PER_DEGREE
+        yield pd.DataFrame({"trip_id": out["id"].astype("int64"), "customer_id": key[0], "date": key[1],
+                            "trips_so_far": np.arange(n + 1, n + ready + 1, dtype=np.int32),
+                            "cancellations_so_far": (cancels + out["err"].cumsum()).astype("int32"),
+                            "location_jump_km": (np.floor(d * 100.0 + 0.5) / 100.0).fillna(0.0)})
+        n, cancels = n + ready, cancels + int(out["err"].sum())
+        lat, lon = float(out["lat"].iloc[-1]), float(out["lon"].iloc[-1])
+    day_end = int(pd.Timestamp(key[1]).tz_localize("UTC").timestamp() * 1000) + 86_400_000
+    if not len(wait) and state.getCurrentWatermarkMs() >= day_end:
+        if state.exists:
+            state.remove()
         return
-    pdf = pdf.sort_values(["ts", "trip_id"], kind="stable").reset_index(drop=True)
-    day0, n0, c0, lat0, lon0 = state.get if state.exists else (None, 0, 0, None, None)
-    dates = pdf["date"]
-    cont = dates == day0                      # rows continuing the stored day
-    grp = (dates != dates.shift()).cumsum()
-    n = pdf.groupby(grp).cumcount() + 1 + np.where(cont, n0, 0)
-    is_err = (pdf["trip_type"] == "error").astype(int)
-    c = is_err.groupby(grp).cumsum() + np.where(cont, c0, 0)
-    plat = pdf["pickup_lat"].shift()
-    plon = pdf["pickup_lon"].shift()
-    first = grp != grp.shift()
-    plat = plat.where(~first, lat0 if lat0 is not None else np.nan)
-    plon = plon.where(~first, lon0 if lon0 is not None else np.nan)
-    plat = plat.where(~(first & ~cont), np.nan)
-    plon = plon.where(~(first & ~cont), np.nan)
-    dlat = pdf["pickup_lat"] - plat
-    dlon = pdf["pickup_lon"] - plon
-    d = np.sqrt(dlat * dlat + dlon * dlon) * KM_PER_DEGREE
-    jump = (np.floor(d * 100.0 + 0.5) / 100.0).fillna(0.0)
-    last = pdf.iloc[-1]
-    state.update((last["date"], int(n.iloc[-1]), int(c.iloc[-1]), float(last["pickup_lat"]),
-                  float(last["pickup_lon"])))
-    # drop the rider's state once the watermark has passed the end of the day
-    day_end_ms = int(pd.Timestamp(last["date"]).tz_localize("UTC").timestamp() * 1000) + 86_400_000
-    state.setTimeoutTimestamp(max(day_end_ms, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame({"trip_id": pdf["trip_id"], "customer_id": key[0], "date": dates,
-                        "trips_so_far": n.astype("int32"), "cancellations_so_far": c.astype("int32"),
-                        "location_jump_km": jump.astype(float)})
+    state.update((n, cancels, lat, lon, *(wait[c].tolist() for c in ("ms", "id", "err", "lat", "lon"))))
+    due = int(wait["ms"].iloc[0]) + 1 if len(wait) else day_end
+    state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
 
 
 def rider_day_running(trips: DataFrame) -> DataFrame:
-    """K4: running trip count, cancellations and location jump per rider-day."""
+    """K4: running trip count, cancellations and location jump per rider-day.
+    A rider-day is the unit of state; a rider's days are spread over tasks."""
     t = (trips.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", WATERMARK)
-              .select("trip_id", "customer_id", "date", "ts", "event_time", "trip_type", "pickup_lat", "pickup_lon"))
-    return t.groupBy("customer_id").applyInPandasWithState(
-        _rider_state, K4_OUT, K4_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+              .withColumn("ms", F.unix_millis("event_time"))
+              .select("trip_id", "customer_id", "date", "ms", "event_time", "trip_type", "pickup_lat", "pickup_lon"))
+    return t.groupBy("customer_id", "date").applyInPandasWithState(
+        _rider_day_state, K4_OUT, K4_STATE, "append", GroupStateTimeout.EventTimeTimeout)

@@ -28,6 +28,38 @@ def test_metrics_json_and_model_roundtrip(spark):
     io.save_forest(spark, forest, f"{d}/forest")
     f2 = io.load_forest(spark, f"{d}/forest")
     assert f2["psi"] == forest["psi"] and len(f2["trees"]) == 5
-    w = [np.ones((2, 3)), np.zeros(3)]
-    io.save_weights(spark, w, f"{d}/w")
-    assert all(np.array_equal(a, b) for a, b in zip(io.load_weights(spark, f"{d}/w"), w))
+    assert all(np.array_equal(a, b) for a, b in zip(f2["leaf"], forest["leaf"]))
+    net = anomaly.Network.drawn([2, 3, 1, 3, 2], 0.5, 1)
+    io.save_network(spark, net, f"{d}/net")
+    x = np.random.default_rng(0).normal(size=(5, 2))
+    assert np.array_equal(io.load_network(spark, f"{d}/net").reconstruct(x), net.reconstruct(x))
+
+
+def test_pipeline_saved_loaded_scored_and_cached(spark):
+    from ridewise import constants as K
+    from ridewise.operators import forecast
+    d = tempfile.mkdtemp(prefix="rw-io-", dir="/tmp")
+    rng = np.random.default_rng(1)
+    rows = [tuple(float(v) for v in rng.normal(size=len(K.PRICING_FEATURES) + 1)) for _ in range(80)]
+    df = io.cached(spark.createDataFrame(rows, [*K.PRICING_FEATURES, "price_usd"]))
+    model = forecast.regressor("gbt", K.PRICING_FEATURES, "price_usd", maxIter=2, maxDepth=2).fit(df)
+    io.save_model(model, f"{d}/model")
+    back = io.load_model(f"{d}/model")
+    assert back.stages[0].getInputCols() == K.PRICING_FEATURES
+    a, b = ([r["prediction"] for r in m.transform(df).orderBy(*K.PRICING_FEATURES).collect()] for m in (model, back))
+    assert a == b and df.is_cached
+    df.unpersist()
+
+
+def test_gradient_against_differences():
+    net = anomaly.Network.drawn([3, 4, 2, 4, 3], 0.7, 3)
+    size = sum(m.size + c.size for m, c in net.layers)
+    net = net.moved(np.random.default_rng(5).normal(size=size) * 0.2)       # no unit right at its kink
+    x = np.random.default_rng(2).normal(size=(6, 3))
+    g, loss = net.gradient(x)
+    for k in range(0, len(g), 5):
+        step = np.zeros(len(g))
+        step[k] = 1e-6
+        num = (net.moved(step).gradient(x)[1] - net.moved(-step).gradient(x)[1]) / 2e-6
+        assert abs(num - g[k]) < 1e-4 * max(1.0, abs(num))
+    assert abs(loss - np.square(net.reconstruct(x) - x).sum()) < 1e-9

@@ -193,11 +193,49 @@ def test_rider_day_features_hot_key(spark):
     assert a == b
 
 
-def test_percentile_auto_switches_to_sketch(spark):
+@pytest.mark.parametrize("parts", [1, 8, 32])
+def test_exact_percentile_of_ties_groups_and_skew(spark, parts):
     from ridewise.operators import stats
-    df = spark.range(0, 1000).select(F.col("id").cast("double").alias("v"))
-    assert stats.use_approx(df, "v", max_rows=10) is True
-    assert stats.use_approx(df, "v") is False
-    exact = stats.percentile(df, "v", 0.5, approx=False).first()["p"]
-    approx = stats.percentile(df, "v", 0.5, approx=True).first()["p"]
-    assert exact == 499.5 and abs(approx - 499.5) <= 1
+    rng = np.random.default_rng(parts)
+    v = np.r_[rng.integers(0, 50, 3000) * 1.0, rng.standard_cauchy(2000), [1e12, -1e12]]
+    g = np.where(np.arange(len(v)) % 7 == 0, "b", "a")
+    df = spark.createDataFrame(list(zip(g.tolist(), v.tolist())), "g string, v double").repartition(parts)
+    ps = [0.0, 0.25, 0.5, 0.95, 1.0]
+    got = {r["g"]: r["q"] for r in stats.percentile(df, "v", ps, group="g", name="q").collect()}
+    for k in "ab":
+        assert got[k] == pytest.approx(np.quantile(v[g == k], ps).tolist())
+    assert stats.percentile(df, "v", 0.5).first()["p"] == pytest.approx(float(np.median(v)))
+    assert stats.percentile(df.limit(0), "v", 0.5).first()["p"] is None
+
+
+@pytest.mark.parametrize("parts", [1, 8, 32])
+def test_distributed_auc_with_many_scores_and_other_columns(spark, parts):
+    from ridewise.operators import evaluate
+    df = (spark.range(0, 150_000, 1, parts).select(
+        F.xxhash64("id").alias("s"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) == 0).cast("int").alias("y"),
+        F.col("id").cast("string").alias("other"), (F.col("id") * 2).alias("more")))
+    a = evaluate.roc_auc(df, "y", "s", distributed=True).first()
+    b = evaluate.roc_auc(df, "y", "s", distributed=False).first()
+    assert a["auc"] == pytest.approx(b["auc"], abs=1e-12) and 0 <= a["auc"] <= 1
+    assert (a["positives"], a["negatives"]) == (b["positives"], b["negatives"])
+
+
+def test_running_sum_with_an_extra_column(spark):
+    df = spark.range(0, 200_000, 1, 16).select("id", F.lit(1).alias("v"), F.uuid().alias("x"))
+    r = window.prefix_sums(df, ["id"], {"c": "v"}, num_partitions=24).agg(
+        F.max("c").alias("m"), F.countDistinct("c").alias("d"), F.sum((F.col("c") != F.col("id") + 1).cast("int")).alias("bad")).first()
+    assert (r["m"], r["d"], r["bad"]) == (200_000, 200_000, 0)
+
+
+def test_auc_counts_pass_a_long(spark):
+    from ridewise.operators import evaluate
+    big = spark.createDataFrame([(1, 0.9)] * 3 + [(0, 0.1)] * 5, "y int, s double")
+    assert evaluate.roc_auc(big, "y", "s").first()["auc"] == 1.0
+    one = spark.createDataFrame([(1, 0.9)], "y int, s double")
+    assert evaluate.roc_auc(one, "y", "s").first()["auc"] is None
+
+
+def test_density_of_a_given_range(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (50.0,)], "v double")
+    h = stats.histogram(df, "v", 4, lo=0.0, hi=2.0, density=True).collect()
+    assert sum(r["density"] * (r["bin_hi"] - r["bin_lo"]) for r in h) == pytest.approx(1.0)
