@@ -180,6 +180,8 @@ FRAUD_FEATURES: list[str] = [
 ]
 
 # FIXED VALUES: match serving.
+# fixed text of a match response
+MATCH_STRATEGY = "content-based (cosine) → hybrid gradient boosting re-rank"
 MATCH_POOL_SIZE = 40
 MATCH_DEFAULT_TOP_K = 5
 MATCH_MAX_TOP_K = 20

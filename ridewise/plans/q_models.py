@@ -81,7 +81,7 @@ def demand_model_selection(spark, sf_dir):
 def fare_predictions(spark, sf_dir):
     _, best, models, codes = _pricing(spark, sf_dir)
     req = validate.validate(B.price_requests(spark, sf_dir), validate.price_request_rules())
-    valid, _ = validate.split_valid(req)
+    valid, rejected = validate.split_valid(req)
     v = (valid.withColumn("weather_encoded", F.array_position(F.array(*[F.lit(w) for w in K.WEATHER]), F.col("weather")) - 1)
               .withColumn("is_weekend", cal.is_weekend("day_of_week"))
               .withColumn("is_night", cal.is_night("hour"))
@@ -91,7 +91,10 @@ def fare_predictions(spark, sf_dir):
     v = apply_codes(v, codes, "pickup_neighborhood", "pickup_enc", handle_invalid="error")
     v = apply_codes(v, codes, "dropoff_neighborhood", "dropoff_enc", handle_invalid="error")
     out = forecast.predict_fares(models[best], v)
-    return out.select("request_id", "response.*", "response_json")
+    # a rejected request comes back with its errors and without a price
+    bad = rejected.select("request_id", F.array_join("errors", "; ").alias("errors"))
+    return (out.select("request_id", "response.*", "response_json", F.lit("").alias("errors"))
+               .unionByName(bad, allowMissingColumns=True))
 
 
 @register("scenario_demand_forecast", None, ops=("J27", "D9"), heavy=True)
