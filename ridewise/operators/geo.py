@@ -93,12 +93,13 @@ def demand_grid_points(spark: SparkSession) -> DataFrame:
     return lat.crossJoin(lon).crossJoin(F.broadcast(hours))
 
 
-def grid_demand(spark: SparkSession, days: DataFrame, factors: DataFrame | None = None) -> DataFrame:
+def grid_demand(spark: SparkSession, days: DataFrame, factors: DataFrame | None = None,
+                month: int = K.GRID_SCENARIO_MONTH) -> DataFrame:
     """Demand over the grid for each scenario day, decayed with distance
     from the nearest centroid; points beyond 0.06 degrees are dropped.
 
     ``days`` holds the scenario dates (one row per calendar day, so it is
-    bounded by the calendar); ``factors`` the (date, zone, event_factor)
+    bounded by the calendar), scored as days of ``month`` (December); ``factors`` the (date, zone, event_factor)
     calendar. The lattice is generated by ``spark.range`` (distributed) and
     the day table is broadcast into it.
     """
@@ -111,7 +112,7 @@ def grid_demand(spark: SparkSession, days: DataFrame, factors: DataFrame | None
         g = g.withColumn("event_factor", F.lit(1.0))
     nl = F.element_at(F.array(*[F.lit(z[4]) for z in K.ZONES]), F.col("nearest_idx") + 1)
     tr = F.element_at(F.array(*[F.lit(z[5]) for z in K.ZONES]), F.col("nearest_idx") + 1)
-    ds = demand_score(F.col("hour"), F.weekday("date"), F.month("date"), nl, tr, F.col("event_factor"))
+    ds = demand_score(F.col("hour"), F.weekday("date"), F.lit(month), nl, tr, F.col("event_factor"))
     decay = F.greatest(F.lit(0.0), F.lit(1.0) - F.col("nearest_dist") / F.lit(K.GRID_DECAY_DIST))
     return g.select("date", round_half_up(F.col("lat"), 4).alias("lat"), round_half_up(F.col("lon"), 4).alias("lon"),
                     "hour", round_half_up(ds * decay, 3).alias("demand"),

@@ -45,7 +45,7 @@ def _grid_sql():
     n_lat = geo.grid_axis_size(K.GRID_LAT_START, K.GRID_LAT_STOP, K.GRID_RESOLUTION)
     n_lon = geo.grid_axis_size(K.GRID_LON_START, K.GRID_LON_STOP, K.GRID_RESOLUTION)
     hours = ", ".join(f"({h})" for h in K.GRID_HOURS)
-    ds = demand_score_sql("g.hour", "(isodow(g.date) - 1)", "month(g.date)",
+    ds = demand_score_sql("g.hour", "(isodow(g.date) - 1)", str(K.GRID_SCENARIO_MONTH),
                           pick(ZNL, "g.zone_idx"), pick(ZTR, "g.zone_idx"), "f.event_factor")
     return with_(trips_cte(), zones_cte(), demand_factor_cte("trips")) + f"""
 , days AS (SELECT DISTINCT date FROM trips WHERE isodow(date) - 1 = {K.GRID_SCENARIO_DOW}),

@@ -24,7 +24,7 @@ SELECT s.week, round(coalesce(w.rev, 0), 4) AS total_revenue, CAST(coalesce(w.tr
 FROM spine s LEFT JOIN wk w ON s.week = w.week"""
 
 
-@register("weekly_revenue", WEEKLY_SQL, ops=("E7", "A2", "F1"))
+@register("weekly_revenue", WEEKLY_SQL, ops=("E7",))
 def weekly_revenue(spark, sf_dir):
     d = B.daily_kpis(spark, sf_dir)
     w = kpi.weekly_resample(d, "date", {"total_revenue": "total_revenue", "total_trips": "total_trips"})

@@ -18,7 +18,7 @@ from ridewise.plans.catalog import register
 from ridewise.sources import bindings as B
 from ridewise.session import cut_lineage
 
-MAX_ITER = 10
+MAX_ITER, TREES = 10, 20
 
 
 def by_importance():
@@ -40,7 +40,7 @@ def _pricing(spark, sf_dir):
     s = split.hash_split(r, "trip_id", 20)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     metrics, best, models = forecast.evaluate_candidates(spark, train, test, "price_usd",
-                                                         forecast.pricing_candidates(MAX_ITER), metric="mae")
+                                                         forecast.pricing_candidates(MAX_ITER, TREES), metric="mae")
     return metrics, best, models, codes
 
 
@@ -64,7 +64,7 @@ def _demand(spark, sf_dir):
     s = split.hash_split(g, "trip_id", 20)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     metrics, best, models = forecast.evaluate_candidates(spark, train, test, "demand_score",
-                                                         forecast.demand_candidates(MAX_ITER), clip01=True,
+                                                         forecast.demand_candidates(MAX_ITER, TREES), clip01=True,
                                                          metric="r2", lower_is_better=False)
     return metrics, best, models, codes
 
