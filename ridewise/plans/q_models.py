@@ -15,8 +15,10 @@ from ridewise.functions.exprs import round_half_up
 from ridewise.functions.encode import apply_codes, fit_alphabetical
 from ridewise.operators import anomaly, evaluate, forecast, geo, scale, split, validate
 from ridewise.plans.catalog import register
+from ridewise.session import cut_lineage, scratch_path
 from ridewise.sources import bindings as B
-from ridewise.session import cut_lineage
+from ridewise.sources import io
+from ridewise.streaming import jobs
 
 MAX_ITER, TREES = 10, 20
 
@@ -27,6 +29,14 @@ def by_importance():
     return F.transform(ordered, lambda x: F.struct(x["feature"].alias("feature"), x["importance"].alias("importance")))
 
 
+def stored(spark, model):
+    """The fitted pipeline written to the shared folder and loaded again;
+    what serves requests is the loaded one."""
+    path = scratch_path(spark, "model")
+    io.save_model(model, path)
+    return io.load_model(path)
+
+
 def _encoded_rides(spark, sf_dir):
     r = B.rides(spark, sf_dir)
     codes = fit_alphabetical(r, ["pickup_neighborhood", "dropoff_neighborhood"], "code")
@@ -77,9 +87,10 @@ def demand_model_selection(spark, sf_dir):
     return metrics.crossJoin(top)
 
 
-@register("fare_predictions", None, ops=("J26", "B4", "C6", "A8", "I-json"), heavy=True)
+@register("fare_predictions", None, ops=("J26", "B4", "C6", "A5", "A6", "A8", "I-json"), heavy=True)
 def fare_predictions(spark, sf_dir):
     _, best, models, codes = _pricing(spark, sf_dir)
+    model = stored(spark, models[best])
     req = validate.validate(B.price_requests(spark, sf_dir), validate.price_request_rules())
     valid, rejected = validate.split_valid(req)
     v = (valid.withColumn("weather_encoded", F.array_position(F.array(*[F.lit(w) for w in K.WEATHER]), F.col("weather")) - 1)
@@ -90,23 +101,38 @@ def fare_predictions(spark, sf_dir):
                           round_half_up(F.col("pending_requests") / (F.col("active_drivers") + 1), 2)))
     v = apply_codes(v, codes, "pickup_neighborhood", "pickup_enc", handle_invalid="error")
     v = apply_codes(v, codes, "dropoff_neighborhood", "dropoff_enc", handle_invalid="error")
-    out = forecast.predict_fares(models[best], v)
+    out = forecast.predict_fares(model, v)
     # a rejected request comes back with its errors and without a price
     bad = rejected.select("request_id", F.array_join("errors", "; ").alias("errors"))
     return (out.select("request_id", "response.*", "response_json", F.lit("").alias("errors"))
                .unionByName(bad, allowMissingColumns=True))
 
 
-@register("scenario_demand_forecast", None, ops=("J27", "D9"), heavy=True)
+@register("scenario_demand_forecast", None, ops=("J27", "D9", "A6"), heavy=True)
 def scenario_demand_forecast(spark, sf_dir):
     _, best, models, codes = _demand(spark, sf_dir)
     s = geo.scenario_grid(spark, K.SCENARIO_ZONES, K.GRID_SCENARIO_DOW, K.GRID_SCENARIO_MONTH)
     s = cal.add_cyclical(s, {"hour": ("hour", 24), "dow": ("day_of_week", 7), "month": ("month", 12)})
     s = apply_codes(s, codes, "neighborhood", "neighborhood_enc")
-    p = models[best].transform(s)
+    p = stored(spark, models[best]).transform(s)
     return p.select("neighborhood", "hour", F.col("prediction").alias("predicted_demand"))
 
 
+@register("stream_model_fares", None, ops=("K2", "J26", "A6", "C6"), heavy=True)
+def stream_model_fares(spark, sf_dir):
+    """K2 with the fitted pipeline: a stream of rides, encoded with the frozen
+    codes and priced by the model loaded from the shared folder."""
+    _, best, models, codes = _pricing(spark, sf_dir)
+    model = stored(spark, models[best])
+    codes = cut_lineage(codes, "zone-codes")
+    boosts = cut_lineage(B.pricing_boost_by_date(spark, B.trips(spark, sf_dir).select("date")))
+    rides = B.rides_from_trips(spark, B.trips_from_events(jobs.event_stream(spark, sf_dir)), boosts)
+    rides = apply_codes(rides, codes, "pickup_neighborhood", "pickup_enc", handle_invalid="error")
+    rides = apply_codes(rides, codes, "dropoff_neighborhood", "dropoff_enc", handle_invalid="error")
+    fares = forecast.predict_fares(model, rides.withColumnRenamed("trip_id", "request_id"))
+    return jobs.run_available_now(fares.select("request_id", "response.*", "response_json"), "k2-model")
+
+
 # ----------------------------------------------------------------- fraud ensemble
 
 def _fraud_frames(spark, sf_dir):
