@@ -9,18 +9,33 @@ and get the same decisions.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridewise.session import cut_lineage, scratch_path, shared_dir, ship_package  # noqa: F401
+from ridewise import session
+from ridewise.session import scratch_path, ship_package  # noqa: F401
 from ridewise.sources.tables import read_table  # noqa: F401
 
 NULL_ID = -(2 ** 63)
 WS_CLASS = r"[\x20\x09-\x0D]+"
 
 
+#: Rows in an Arrow batch of texts: with the default of 10,000 a task may hold 100 MB of text several times over.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships the package to the workers and bounds Arrow batches."""
+    ship_package(spark)
+    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def id_value(col: str = "__id") -> Column:
     """The id as the caller gave it: ``NULL_ID`` back to null."""
     return F.when(F.col(col) != F.lit(NULL_ID), F.col(col))
@@ -41,6 +56,23 @@ def with_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                      F.xxhash64(text).alias("__rk"))
 
 
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table. Spark removes a finished step's shuffle files
+    once the driver has collected their handles; asking for that here keeps
+    the executors' disks at the files of one step instead of all."""
+    out = session.cut_lineage(df, name)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
+def join_side(df: DataFrame, name: str) -> DataFrame:
+    """An aggregated join side as a written table. Both inputs of the join are
+    then plain exchanges, which adaptive execution can split at a hot key; an
+    aggregate right below a join on its key prevents that."""
+    return cut_lineage(df, name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import cut_lineage
+from ridewise.llm.common import cut_lineage, join_side
 
 #: JSON Schema type -> pattern of Spark's name for a variant's type
 TYPES = {"string": "^STRING$", "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "number": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
@@ -28,7 +28,8 @@ TYPES = {"string": "^STRING$", "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "numbe
 def _argument_errors(args: Column, fields: dict[str, dict]) -> list[Column]:
     out = []
     for name, rule in sorted(fields.items()):
-        path = "$['" + name.replace("'", "\\'") + "']"
+        quote = '"' if "'" in name else "'"        # a name with both kinds has no path
+        path = f"$[{quote}{name}{quote}]"
         value = F.try_variant_get(args, path, "variant")
         kind = F.schema_of_variant(value)
         there = value.isNotNull() & (kind != "VOID")
@@ -67,10 +68,11 @@ def validation_errors(name: Column, args: Column, schemas: dict[str, dict[str, d
 
 def levels(messages: DataFrame) -> DataFrame:
     """``thread, id, level``: steps to the root of each message; null on a
-    cycle or behind one. Each round doubles the reach; a round without a newly
+    cycle or behind one. Of messages with one id the earliest counts. Each round doubles the reach; a round without a newly
     finished message while some are open proves that the rest is cyclic."""
     keep = messages.where(F.col("id").isNotNull())
-    nodes = keep.groupBy("thread", "id").agg(F.min("parent_id").alias("ptr"))
+    nodes = join_side(keep.groupBy("thread", "id").agg(F.min(F.struct("seq", "parent_id")).alias("first"))
+                          .select("thread", "id", F.col("first.parent_id").alias("ptr")), "messages-by-id")
     ids = nodes.select("thread", F.col("id").alias("ptr"), F.lit(True).alias("there"))
     state = cut_lineage(nodes.join(ids.withColumn("__t", F.col("thread")).drop("thread"),
                                    nodes["thread"].eqNullSafe(F.col("__t")) & (nodes["ptr"] == ids["ptr"]), "left")
@@ -80,10 +82,11 @@ def levels(messages: DataFrame) -> DataFrame:
     while open_now:
         to = state.select(F.col("thread").alias("__t"), F.col("id").alias("__i"), F.col("ptr").alias("ptr2"),
                           F.col("dist").alias("dist2"))
+        ahead = state.where(F.col("ptr").isNotNull())              # finished messages take no part
         state = cut_lineage(
-            state.join(to, state["thread"].eqNullSafe(F.col("__t")) & (state["ptr"] == F.col("__i")), "left")
-                 .select("thread", "id", F.when(F.col("ptr").isNotNull(), F.col("ptr2")).alias("ptr"),
-                         (F.col("dist") + F.coalesce("dist2", F.lit(0))).alias("dist")), "levels")
+            ahead.join(to, ahead["thread"].eqNullSafe(F.col("__t")) & (ahead["ptr"] == F.col("__i")))
+                 .select("thread", "id", F.col("ptr2").alias("ptr"), (F.col("dist") + F.col("dist2")).alias("dist"))
+                 .unionByName(state.where(F.col("ptr").isNull())), "levels")
         left = state.where(F.col("ptr").isNotNull()).count()
         if left == open_now:
             break
@@ -114,11 +117,11 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict[str, dict]]) ->
     first = F.struct(F.col("seq"), F.col("payload"), F.col("ord"))
     calls = m.where(F.col("kind") == "call")
     results = m.where(F.col("kind") == "result")
-    used = (calls.where(F.col("id").isNotNull()).groupBy("thread", "id").agg(F.min(first).getField("ord").alias("ord"))
-                 .select(F.col("thread").alias("t"), F.col("id").alias("i"), F.col("ord").alias("first_call")))
-    answer = (results.where(F.col("call_id").isNotNull()).groupBy("thread", "call_id").agg(F.min(first).alias("r"))
-                     .select(F.col("thread").alias("rt"), F.col("call_id").alias("ri"), F.col("r.ord").alias("first_result"),
-                             F.col("r.payload").alias("content"), F.col("r.seq").alias("result_seq")))
+    used = join_side(calls.where(F.col("id").isNotNull()).groupBy("thread", "id").agg(F.min(first).getField("ord").alias("ord"))
+                          .select(F.col("thread").alias("t"), F.col("id").alias("i"), F.col("ord").alias("first_call")), "first-calls")
+    answer = join_side(results.where(F.col("call_id").isNotNull()).groupBy("thread", "call_id").agg(F.min(first).alias("r"))
+                              .select(F.col("thread").alias("rt"), F.col("call_id").alias("ri"), F.col("r.ord").alias("first_result"),
+                                      F.col("r.payload").alias("content"), F.col("r.seq").alias("result_seq")), "first-results")
     pair = used.join(answer.hint("shuffle_hash"), F.col("t").eqNullSafe(F.col("rt")) & (F.col("i") == F.col("ri")), "left") \
                .select("t", "i", "first_call", "first_result", "content", "result_seq")
     # a call row takes its result only if it is the first with its id
