@@ -68,7 +68,7 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
             for lo, hi in slices(text):
                 rows = []
                 for i, rk, ids in zip(b.column(0)[lo:hi].to_pylist(), b.column(1)[lo:hi].to_pylist(),
-                                      encoder(tokenizer).encode_batch(text[lo:hi].to_pylist(), end_id)):
+                                      encoder(tokenizer).encode_batch(text[lo:hi], end_id)):
                     for s in range(0, len(ids), capacity):
                         piece = ids[s:s + capacity]
                         rows.append((i, rk, s, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
