@@ -99,7 +99,7 @@ def _write(path: str, tokenizer: str, end_id: int, width: int):
                     rec, idx = fs.open_output_stream(own + ".rec"), fs.open_output_stream(own + ".idx")
                     rec.write(MAGIC + bytes([width]))
                 rows = []
-                for i, ids in zip(ids_col[lo:hi], encoder(tokenizer).encode_batch(text[lo:hi].to_pylist(), end_id)):
+                for i, ids in zip(ids_col[lo:hi], encoder(tokenizer).encode_batch(text[lo:hi], end_id)):
                     data = frame(i, ids, width)
                     rec.write(data)
                     rows.append((i, offset, len(data), len(ids), before))
