@@ -18,20 +18,20 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ridewise.llm import decontaminate, line_dedup, near_dedup, packing, quality_classifier  # noqa: E402
-from ridewise.llm.common import cut_lineage, id_value, read_table, ship_package  # noqa: E402
+from ridewise.llm.common import cut_lineage, id_value, prepare, read_table  # noqa: E402
 from ridewise.llm.queries import END_ID, QUALITY_THRESHOLD, SEQUENCE, TOKENIZER  # noqa: E402
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least ``QUALITY_THRESHOLD``, unchanged."""
-    ship_package(spark)
+    prepare(spark)
     return quality_classifier.keep_good(docs, read_table(spark, sf_dir, "labels"), QUALITY_THRESHOLD)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the lines that a larger id holds; ``n_chars``, if
     there is such a column, is counted anew."""
-    ship_package(spark)
+    prepare(spark)
     out = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -40,20 +40,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class: the smallest id."""
-    ship_package(spark)
+    prepare(spark)
     return near_dedup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
-    ship_package(spark)
+    prepare(spark)
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset."""
-    ship_package(spark)
+    prepare(spark)
     out = packing.pack_documents(docs, TOKENIZER, END_ID, SEQUENCE)
     return out.withColumn("doc_id", id_value()).select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
                                                        "sequence_id", "offset")

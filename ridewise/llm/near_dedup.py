@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import cut_lineage, hash_words, keyed, kgram_hashes, mix64, with_key
+from ridewise.llm.common import cut_lineage, hash_words, join_side, keyed, kgram_hashes, mix64, with_key
 from ridewise.llm.components import components
 
 WORD = re.compile(r"\w+")
@@ -75,7 +75,7 @@ def _draws(m: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
             (rng.integers(0, 2 ** 63, size=(m, 1)).astype(np.uint64) << np.uint64(1)) | np.uint64(1))
 
 
-def sketch(lab: np.ndarray, ell: int, m: int, seed: int, chunk: int = 1 << 16) -> np.ndarray:
+def sketch(lab: np.ndarray, ell: int, m: int, seed: int, chunk: int = 1 << 13) -> np.ndarray:
     """``m`` order MinHash components as 64-bit bucket keys."""
     ell = min(ell, len(lab))
     add, mul = _draws(m, seed)
@@ -218,13 +218,13 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     same = (rows.groupBy("__c1", "__c2").agg(F.min(F.struct("__id", "__rk", "__ord")).alias("best"))
                 .select("__c1", "__c2", F.col("best.__ord").alias("node"), F.col("best.__id").alias("node_id"),
                         F.col("best.__rk").alias("node_rk")))
-    known = cut_lineage(rows.join(same, ["__c1", "__c2"])
+    known = cut_lineage(rows.join(join_side(same, "same-words"), ["__c1", "__c2"])
                             .select("__id", "__rk", "__ord", "node", "node_id", "node_rk",
                                     F.when(F.col("__ord") == F.col("node"), F.col("__keys")).alias("__keys")), "nodes")
     keys = known.where(F.col("__keys").isNotNull()).select(F.explode("__keys").alias("key"), "node").distinct()
     shared = (keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("size"))
                   .where(F.col("lo") != F.col("hi")).select("key", "size"))
-    members = keys.join(shared, "key")
+    members = keys.join(join_side(shared, "shared-buckets"), "key")
     weight = members.groupBy("node").agg(F.sum("size").alias("rank"))
     members = cut_lineage(members.select("key", "node").join(weight, "node"), "members")
     wanted = members.select("node").distinct().join(known.where(F.col("__ord") == F.col("node")), "node") \
@@ -264,7 +264,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         known = known.withColumn("comp", F.col("node"))
     known = cut_lineage(known.select("__id", "__rk", "comp"), "classes")
     best = known.groupBy("comp").agg(F.min(F.struct("__id", "__rk")).alias("best"), F.count(F.lit(1)).alias("class_size"))
-    return known.join(best, "comp").select("__id", "__rk", F.col("best.__id").alias("class_id"), "class_size",
+    return known.join(join_side(best, "class-heads"), "comp").select("__id", "__rk", F.col("best.__id").alias("class_id"), "class_size",
                                            (F.struct("__id", "__rk") == F.col("best")).alias("kept"))
 
 

@@ -16,7 +16,7 @@ import public_tokenizers
 
 from ridewise.llm import (decontaminate, exact_dedup, line_dedup, link_graph, near_dedup, packing, quality_classifier,
                           substring_dedup, token_records, tool_calls)
-from ridewise.llm.common import NULL_ID, read_table, scratch_path, ship_package
+from ridewise.llm.common import NULL_ID, prepare, read_table, scratch_path
 
 #: vocabulary and end id of the token queries; the file is never copied
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,7 +30,7 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql:
