@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import WS_CLASS, cut_lineage
+from ridewise.llm.common import WS_CLASS, cut_lineage, join_side
 
 VERIFY = ["__digest", "__bytes", "__check"]
 
@@ -66,7 +66,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     if fan < 2:
         raise ValueError("fan must be at least 2")
     runs = digest_runs(df, id_col, text_col)
-    groups = merge_runs(runs, fan).where(F.col("__copies") > 1)
+    groups = join_side(merge_runs(runs, fan).where(F.col("__copies") > 1), "copies")
     joined = runs.join(groups, VERIFY, "left")
     return joined.select(F.col("__id").alias(id_col),
                          F.coalesce(F.col("__best.id"), F.col("__id")).alias("keep_id"),

@@ -28,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import cut_lineage, hash_words, keyed, kgram_hashes, with_key
+from ridewise.llm.common import cut_lineage, hash_words, join_side, keyed, kgram_hashes, with_key
 
 ANCHORS = "__id long, __rk long, __pos int, __node long, __prev long, __next long, __gap int"
 
@@ -153,6 +154,23 @@ def window_hashes(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarr
     return kgram_hashes(wh, window, 1), kgram_hashes(wh, window, 2)
 
 
+def _pack_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts go through the shuffles compressed: less than a lz4 block holds."""
+    z = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        packed = [z.compress(t.as_py().encode()) for t in b.column(2)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())],
+                                         names=["__id", "__rk", "__packed"])
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    return docs.select("__id", "__rk", "__text").mapInArrow(_pack_text, "__id long, __rk long, __packed binary")
+
+
+def unpack_words(packed: pa.Scalar) -> list[bytes]:
+    return zstandard.decompress(packed.as_buffer()).split()
+
+
 def _flank_rows(seed: int, window: int):
     """Windows that hold a path's end and reach beyond it, once per document
     and window hash, with all their positions."""
@@ -161,8 +179,8 @@ def _flank_rows(seed: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h1, h2, ids, rks, spots = [], [], [], [], []
-            for i, rk, text, spans in zip(*(b.column(j).to_pylist() for j in range(3)), b.column(3).to_pylist()):
-                words = split_words(text)
+            for i, rk, text, spans in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
+                words = unpack_words(text)
                 n = len(words) - window + 1
                 mark = np.zeros(n + 1, dtype=np.int32)
                 for s in spans:
@@ -211,11 +229,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                            (F.col("__pos") + F.col("__len") - window).alias("to")))
     per_doc = spans.groupBy("__id", "__rk").agg(F.collect_set(F.struct("__pos", "__len")).alias("__spans"))
     flanks = cut_lineage(
-        docs.join(per_doc, ["__id", "__rk"]).select("__id", "__rk", "__text", "__spans")
+        packed_texts(docs).join(per_doc, ["__id", "__rk"]).select("__id", "__rk", "__packed", "__spans")
             .mapInArrow(_flank_rows(seed, window), "__h1 long, __h2 long, __id long, __rk long, __at array<int>"),
         "flank-windows")
-    first = (flanks.groupBy("__h1", "__h2").agg(F.min("__id").alias("__min"), F.max("__id").alias("__max"))
-                   .where(F.col("__min") != F.col("__max")).drop("__max"))
+    first = join_side(flanks.groupBy("__h1", "__h2").agg(F.min("__id").alias("__min"), F.max("__id").alias("__max"))
+                            .where(F.col("__min") != F.col("__max")).drop("__max"), "repeated-windows")
     late = (flanks.join(first, ["__h1", "__h2"]).where(F.col("__id") != F.col("__min"))
                   .select("__id", "__rk", F.explode("__at").alias("from")).withColumn("to", F.col("from")))
     return (inside.unionByName(late).groupBy("__id", "__rk")
@@ -236,7 +254,7 @@ def _remove(window: int):
         for b in batches:
             n_words, n_removed, kept = [], [], []
             for text, starts in zip(b.column(1), b.column(2).to_pylist()):
-                words = split_words(text.as_py())
+                words = unpack_words(text)
                 out = words
                 if starts:
                     gone = covered_words(len(words), [(s["from"], s["to"]) for s in starts], window)
@@ -265,8 +283,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     * empty table: empty result; other columns are not read
     """
     spans = repeated_spans(df, id_col, text_col, window, seed)
-    return (keyed(df, id_col, text_col).join(spans, ["__id", "__rk"], "left")
-            .select("__id", "__text", "starts")
+    return (packed_texts(keyed(df, id_col, text_col)).join(spans, ["__id", "__rk"], "left")
+            .select("__id", "__packed", "starts")
             .mapInArrow(_remove(window), "__id long, n_words long, n_removed long, kept_text string"))
 
 
