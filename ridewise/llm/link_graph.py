@@ -17,8 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import cut_lineage
+from ridewise.llm.common import cut_lineage, join_side
 
+SALTS = 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
@@ -59,13 +60,9 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
                      (-F.length("rule")).alias("o"), "rule", "verdict", "rule_path"))).alias("rules")))
 
 
-def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """``pages`` (host, path, ...) with ``hit``: the longest rule that fits, or null."""
-    found = host_rules(pages.select("host").distinct(), rules)
-    hit = F.element_at(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])), 1)
-    cols = pages.columns
-    return (pages.join(found, "host", "left")
-                 .select(*cols, F.when(F.exists("rules", lambda r: F.col("path").startswith(r["rule_path"])), hit).alias("hit")))
+def longest_hit() -> Column:
+    """The first of a row's ``rules`` whose path starts its ``path``, or null."""
+    return F.get(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])), 0)
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
@@ -123,19 +120,23 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     """
     spark = pages.sparkSession
     base = pages.select(F.col(id_col).alias("__id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    judged = matched(base, rule_table(spark, rules))
-    if not rules:
-        judged = base.withColumn("hit", F.lit(None).cast("struct<rule:string,verdict:string>"))
-    seeds = (judged.where(F.col("host") != "").groupBy("host")
+    found = join_side(host_rules(base.select("host").distinct(), rule_table(spark, rules)), "host-rules")
+    # salted: a host may hold a third of all pages, and its counts are summed per salt first
+    salted = (base.where(F.col("host") != "").withColumn("salt", F.pmod(F.xxhash64("__id", "path"), F.lit(SALTS)))
+                  .join(found.withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)"))),
+                        ["host", "salt"], "left").withColumn("hit", longest_hit()))
+    seeds = (salted.groupBy("host", "salt")
                    .agg(F.sum(F.when(F.col("hit.verdict") == "allow", 1.0).otherwise(0.0)).alias("good"),
-                        F.sum(F.when(F.col("hit.verdict") == "block", 1.0).otherwise(0.0)).alias("bad")))
+                        F.sum(F.when(F.col("hit.verdict") == "block", 1.0).otherwise(0.0)).alias("bad"))
+                   .groupBy("host").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
     edges = host_edges(pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html")))
     scores = propagate(edges, seeds, damping, rounds)
     trust, distrust = (F.round(F.coalesce(c, F.lit(0.0)), 12) for c in ("trust", "distrust"))
     own = F.when(distrust > trust, "block").otherwise("allow")
-    return (judged.join(scores, "host", "left")
-                  .select(F.col("__id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"),
-                          F.coalesce(F.col("hit.verdict"), own).alias("verdict"), trust.alias("trust"), distrust.alias("distrust")))
+    hosts = join_side(found.join(scores, "host", "full"), "hosts")
+    return (base.join(hosts, "host", "left").withColumn("hit", longest_hit())
+                .select(F.col("__id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"),
+                        F.coalesce(F.col("hit.verdict"), own).alias("verdict"), trust.alias("trust"), distrust.alias("distrust")))
 
 
 def propagation_sql(rounds: int, damping: float) -> str:
