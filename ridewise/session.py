@@ -60,7 +60,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Deletes the tables, models and stream sinks this process has written to
+    the shared folder, through the folder's own store, and returns how many.
+    For use once the results that read them have been consumed."""
+    hadoop, n = spark._jsc.hadoopConfiguration(), 0
+    while _SCRATCH:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += p.getFileSystem(hadoop).delete(p, True)
+    return n
 
 
 def cut_lineage(df, name: str = "stage"):

@@ -63,3 +63,13 @@ def test_gradient_against_differences():
         num = (net.moved(step).gradient(x)[1] - net.moved(-step).gradient(x)[1]) / 2e-6
         assert abs(num - g[k]) < 1e-4 * max(1.0, abs(num))
     assert abs(loss - np.square(net.reconstruct(x) - x).sum()) < 1e-9
+
+
+def test_scratch_is_dropped_on_request(spark, monkeypatch):
+    import os
+    from ridewise import session
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    t = session.cut_lineage(spark.range(3), "drop-me")
+    path = session._SCRATCH[0]
+    assert t.count() == 3 and os.path.isdir(path.removeprefix("file:"))
+    assert session.drop_scratch(spark) == 1 and not os.path.exists(path.removeprefix("file:"))
