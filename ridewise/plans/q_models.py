@@ -20,8 +20,6 @@ from ridewise.sources import bindings as B
 from ridewise.sources import io
 from ridewise.streaming import jobs
 
-MAX_ITER, TREES = 10, 20
-
 
 def by_importance():
     """The table of feature importances as one array, largest first, ties by name."""
@@ -50,7 +48,7 @@ def _pricing(spark, sf_dir):
     s = split.hash_split(r, "trip_id", 20)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     metrics, best, models = forecast.evaluate_candidates(spark, train, test, "price_usd",
-                                                         forecast.pricing_candidates(MAX_ITER, TREES), metric="mae")
+                                                         forecast.pricing_candidates(), metric="mae")
     return metrics, best, models, codes
 
 
@@ -74,7 +72,7 @@ def _demand(spark, sf_dir):
     s = split.hash_split(g, "trip_id", 20)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     metrics, best, models = forecast.evaluate_candidates(spark, train, test, "demand_score",
-                                                         forecast.demand_candidates(MAX_ITER, TREES), clip01=True,
+                                                         forecast.demand_candidates(), clip01=True,
                                                          metric="r2", lower_is_better=False)
     return metrics, best, models, codes
 
@@ -198,7 +196,7 @@ def fraud_ensemble_report(spark, sf_dir):
     iso_val, iso_test = [cut_lineage(x) for x in _iso(spark, fit, [val, test], z)]
     (ae_val, ae_test), _ = _ae(spark, fit, [val, test], z)
     ae_val, ae_test = cut_lineage(ae_val), cut_lineage(ae_test)
-    clf = anomaly.fit_weighted_classifier(fit, K.FRAUD_FEATURES, "is_fraud", max_iter=MAX_ITER)
+    clf = anomaly.fit_weighted_classifier(fit, K.FRAUD_FEATURES, "is_fraud")
     keys = ["trip_id"]
 
     def combine(iso, ae, base):
