@@ -95,14 +95,15 @@ def greedy_tiles(text: np.ndarray, pattern: np.ndarray, min_match: int, start: i
 
 
 class SeedIndex:
-    """Seed hash to items for one block of the benchmark."""
+    """Seed hash to places in ``items`` for one block of the benchmark; an id may
+    have several texts, and ids may be null."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], seed: int):
-        self.items, self.seed = dict(items), seed
+    def __init__(self, items: list[tuple[int | None, np.ndarray]], seed: int):
+        self.items, self.seed = items, seed
         table = defaultdict(set)
-        for i, h in items:
+        for k, (_, h) in enumerate(items):
             for g in kgram_hashes(h, seed).tolist():
-                table[g].add(i)
+                table[g].add(k)
         self.table = dict(table)
         self.grams = np.sort(np.fromiter(self.table, dtype=np.uint64, count=len(self.table)))
 
@@ -122,8 +123,8 @@ def _tile_rows(index, min_match: int):
             rows = []
             for i, rk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 h = word_hashes(text.as_py())
-                for item in idx.candidates(h):
-                    pattern = idx.items[item]
+                for k in idx.candidates(h):
+                    item, pattern = idx.items[k]
                     tiles = greedy_tiles(h, pattern, min_match)
                     rows.append((i, rk, item, len(tiles), sum(t[0] for t in tiles), len(pattern)))
             cols = list(zip(*rows)) if rows else [[]] * 6
@@ -136,23 +137,22 @@ def _tile_rows(index, min_match: int):
 def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
              item_text: str = "text", seed: int = 5, min_match: int = 3, block_bytes: int = 32 << 20) -> DataFrame:
     """``__id, __rk, item_id, n_tiles, covered, item_words, coverage`` of every
-    document and item that share a run of ``seed`` words."""
+    document and item text that share a run of ``seed`` words. Every distinct
+    ``(item_id, text)`` is an item text of its own, whatever the blocks."""
     if not 1 <= min_match <= seed:
         raise ValueError("min_match must lie between 1 and seed")
     spark = df.sparkSession
     items = (benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("t"))
-                      .where(F.col("item").isNotNull() & F.col("t").isNotNull()))
+                      .where(F.col("t").isNotNull()))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     docs = keyed(df, id_col, text_col).select("__id", "__rk", "__text")
     parts = []
     for k in range(n):
         block = items.where(F.pmod(F.xxhash64("item", "t"), F.lit(n)) == k) if n > 1 else items
-        got = [(r["item"], word_hashes(r["t"])) for r in block.collect()]      # about block_bytes
-        merged: dict[int, np.ndarray] = {}
-        for i, h in sorted(got, key=lambda x: (x[0], len(x[1]))):
-            merged[i] = h                       # of rows with one item id the longest counts
-        index = spark.sparkContext.broadcast(SeedIndex(list(merged.items()), seed))
+        got = {(r["item"], r["t"]) for r in block.collect()}                   # about block_bytes
+        ordered = sorted(got, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        index = spark.sparkContext.broadcast(SeedIndex([(i, word_hashes(t)) for i, t in ordered], seed))
         parts.append(docs.mapInArrow(_tile_rows(index, min_match), PAIRS))
     pairs = functools.reduce(DataFrame.unionByName, parts)
     return pairs.withColumn("coverage", F.col("covered") / F.col("item_words"))
@@ -160,7 +160,8 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def contaminated(df: DataFrame, benchmark: DataFrame, threshold: float = 0.6, **kw) -> DataFrame:
     """``__id, __rk, items, coverage`` of the documents that cover at least
-    ``threshold`` of an item's words; ``items`` are those items' ids."""
+    ``threshold`` of the words of one of an item's texts; ``items`` are those
+    items' ids (none for a null id)."""
     pairs = overlaps(df, benchmark, **kw).where(F.col("coverage") >= threshold)
     return pairs.groupBy("__id", "__rk").agg(F.sort_array(F.collect_set("item_id")).alias("items"),
                                              F.max("coverage").alias("coverage"))
@@ -171,8 +172,9 @@ def flag_documents(df: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
     """One row per input row: ``__id``, contaminated, items, coverage.
 
     * null or empty text: clean; null id: ``NULL_ID``; repeated rows: alike
-    * items with a null id or text, or fewer than ``seed`` words: match nothing
-    * of items with one id the longest text counts
+    * items with a null text, or fewer than ``seed`` words: match nothing
+    * of items with one id every text counts; an item with a null id contaminates,
+      too, but has no id to list
     * very long texts are tiled whole; empty tables: an empty result, or all clean
     * other columns are not read
     """
