@@ -22,6 +22,7 @@ into ranges of bounded size, which tasks read in any order.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -148,6 +149,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/manifest").withColumn("start", F.coalesce(F.sum("ids").over(w), F.lit(0)))
 
 
+def part_number(name: str) -> int:
+    """The number in ``.../part-<digits>.idx``; from 100,000 files on it has more than five digits."""
+    return int(re.search(r"part-(\d+)\.idx$", name).group(1))
+
+
 def _ranges(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,7 +162,7 @@ def _ranges(limit: int):
                 cut = np.flatnonzero(np.diff(idx["offset"] // limit, prepend=-1))
                 ends = np.r_[cut[1:], len(idx)] - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name[:-4]] * len(cut)), pa.array([int(name[-9:-4])] * len(cut), pa.int32()),
+                    [pa.array([name[:-4]] * len(cut)), pa.array([part_number(name)] * len(cut), pa.int32()),
                      pa.array(idx["offset"][cut].astype(np.int64)),
                      pa.array((idx["offset"][ends] + idx["length"][ends]).astype(np.int64)),
                      pa.array(idx["before"][cut].astype(np.int64))],
