@@ -5,7 +5,8 @@ Documents are encoded where they are read. Pieces of a full sequence are cut
 off first, so each document leaves one rest shorter than a sequence; only
 lengths and checksums are shuffled. Groups are drawn by a hash of the row, about
 ``group_docs`` documents each, whatever source or copies they come from, and
-packed independently.
+packed independently. Rows that share id and text hash alike, so their place in
+the written pieces joins the hash and spreads them over the groups.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import keyed
+from ridewise.llm.common import cut_lineage, join_side, keyed
 from ridewise.llm.tokens import encoder, slices
 
 PIECES = "__id long, __rk long, start long, length long, ids_crc32 long, doc_tokens long"
+ROW = ", __row long"
 
 
 class TournamentTree:
@@ -67,13 +69,13 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
             text = b.column(2)
             for lo, hi in slices(text):
                 rows = []
-                for i, rk, ids in zip(b.column(0)[lo:hi].to_pylist(), b.column(1)[lo:hi].to_pylist(),
-                                      encoder(tokenizer).encode_batch(text[lo:hi], end_id)):
+                for i, rk, row, ids in zip(*(b.column(c)[lo:hi].to_pylist() for c in (0, 1, 3)),
+                                           encoder(tokenizer).encode_batch(text[lo:hi], end_id)):
                     for s in range(0, len(ids), capacity):
                         piece = ids[s:s + capacity]
-                        rows.append((i, rk, s, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+                        rows.append((i, rk, s, len(piece), zlib.crc32(piece.tobytes()), len(ids), row))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
-                                                 names=["__id", "__rk", "start", "length", "ids_crc32", "doc_tokens"])
+                                                 names=["__id", "__rk", "start", "length", "ids_crc32", "doc_tokens", "__row"])
     return run
 
 
@@ -93,7 +95,8 @@ def pack_documents(df: DataFrame, tokenizer: str, end_id: int, capacity: int = 4
     sequence_id, offset.
 
     * null or empty text: a piece with the end id alone
-    * null id: ``NULL_ID``; repeated rows: packed each, side by side in any order
+    * null id: ``NULL_ID``; repeated rows: packed each, spread over the groups by
+      an ordinal, so their sequences depend on how the table is split
     * a text longer than a sequence: cut after every ``capacity`` ids
     * empty table: empty result; other columns are not read
     """
@@ -101,7 +104,15 @@ def pack_documents(df: DataFrame, tokenizer: str, end_id: int, capacity: int = 4
         raise ValueError("capacity and group_docs must be positive")
     rows = keyed(df, id_col, text_col)
     groups = max(1, -(-df.count() // group_docs))
-    pieces = rows.mapInArrow(_pieces(tokenizer, end_id, capacity), PIECES)
-    group = F.pmod(F.xxhash64("__id", "__rk", F.lit(seed)), F.lit(groups))
-    return (pieces.withColumn("__group", group).groupBy("__group")
+    # written, so that the ordinals hold when a later task is repeated
+    pieces = cut_lineage(rows.withColumn("__row", F.monotonically_increasing_id())
+                             .mapInArrow(_pieces(tokenizer, end_id, capacity), PIECES + ROW), "pieces")
+    keys = ["__id", "__rk"]
+    repeated = join_side(pieces.where(F.col("start") == 0).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                               .where(F.col("n") > 1).select(*keys, F.lit(True).alias("__again")), "repeated-rows")
+    group = F.xxhash64(*keys, F.lit(seed))
+    if not repeated.isEmpty():
+        pieces = pieces.join(repeated, keys, "left")
+        group = F.when(F.col("__again"), F.xxhash64(*keys, F.lit(seed), "__row")).otherwise(group)
+    return (pieces.withColumn("__group", F.pmod(group, F.lit(groups))).drop("__row", "__again").groupBy("__group")
                   .applyInPandas(_pack(capacity), PIECES + ", sequence_id long, offset long").drop("__rk"))
