@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from ridewise.llm import (decontaminate, exact_dedup, line_dedup, link_graph, near_dedup, packing, quality_classifier,
-                          substring_dedup, token_records, tool_calls)
+                          substring_dedup, token_counts, token_records, tool_calls)
 from ridewise.llm.common import NULL_ID, prepare, read_table, scratch_path
 
 #: vocabulary and end id of the token queries; the file is never copied
@@ -211,3 +211,14 @@ SEQUENCE = 4096
 def op9_packing(spark, sf_dir):
     out = packing.pack_documents(read_table(spark, sf_dir, "documents"), TOKENIZER, END_ID, SEQUENCE)
     return out.withColumn("doc_id", _id()).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+#: vocabulary of the counting query and the number of tokens beyond which a document is over the limit
+COUNT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 1024
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark, sf_dir):
+    out = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), COUNT_TOKENIZER)
+    return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
