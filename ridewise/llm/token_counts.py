@@ -8,11 +8,12 @@ as many ids as the pieces of those pre-tokens add up to. So:
    them occur how often; every block is one row of a written table. Special
    tokens count one id each, and pre-tokens that are themselves entries of the
    vocabulary (a table of fixed size) are summed right away.
-2. Pieces. The other pre-tokens of all blocks are made distinct, and the pieces
-   of each are counted once.
-3. Join. The counts go back to the blocks by a join on the pre-token, in which
-   a block holds each pre-token once: however often a pre-token occurs, it
-   brings at most one row a block, and adaptive execution can split it.
+2. Pieces. A block sends its other distinct pre-tokens, packed, to the buckets
+   of their hashes. Equal pre-tokens of all blocks meet in one bucket, and there
+   the pieces of each are counted once. However often a pre-token occurs in the
+   corpus, it comes once from each block, and every block sends every bucket
+   the same share, so no pre-token makes a bucket hot.
+3. Join. The counts go back to their blocks.
 4. Sum. Each block adds up count times pieces for its documents.
 """
 
@@ -22,19 +23,24 @@ import functools
 import json
 import re
 import unicodedata
+import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import cut_lineage
-from ridewise.llm.tokens import byte_letters, load
+from ridewise.llm.common import cut_lineage, shuffle_partitions
+from ridewise.llm.tokens import Cache, byte_letters, load
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 32 << 20
+#: pre-tokens a bucket remembers at least; a bucket with more distinct ones counts some again
+REMEMBERED = 1 << 20
 #: a text is cut into runs of about so many characters, always before white space
 RUN = 1 << 16
 #: below this code point the pattern is matched by ``re``; texts with letters beyond go to the library
@@ -43,7 +49,7 @@ PLAIN = 0x250
 SPACE = "\t\n\x0b\x0c\r \x85\xa0"
 
 BLOCKS = ("block long, doc_ids array<long>, n_bytes array<long>, known array<long>, ends array<int>, "
-          "terms array<int>, counts array<int>, pretokens array<string>")
+          "terms binary, counts binary, packs array<struct<bucket: int, pretokens: binary>>")
 
 
 def _class(kind: str) -> str:
@@ -142,12 +148,36 @@ def pre_tokens(path: str) -> PreTokens:
     return PreTokens(path)
 
 
+def _pack_ints(values: np.ndarray) -> bytes:
+    """32-bit integers, byte planes one after another, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpack_ints(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+def _pack_strings(parts: list[bytes]) -> bytes:
+    sizes = np.fromiter(map(len, parts), dtype="<u4", count=len(parts)).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(len(parts).to_bytes(4, "little") + sizes + b"".join(parts))
+
+
+def _unpack_strings(data: bytes) -> list[bytes]:
+    data = zstandard.decompress(data)
+    n = int.from_bytes(data[:4], "little")
+    ends = np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n
+    cut = [4 + 4 * n, *ends.tolist()]
+    return [data[a:b] for a, b in zip(cut[:-1], cut[1:])]
+
+
 class _Block:
     """Documents of one block: distinct pre-tokens and a sparse table of counts."""
 
     def __init__(self):
         self.ids, self.bytes, self.known, self.ends = [], [], [], []
-        self.terms, self.counts, self.number, self.size = [], [], {}, 0
+        self.terms, self.counts, self.number, self.size = array("i"), array("i"), {}, 0
 
     def add(self, doc_id, text: str, n_bytes: int, cut: PreTokens) -> None:
         found, known = cut.profile(text)
@@ -165,15 +195,35 @@ class _Block:
         self.ends.append(len(self.terms))
         self.size += n_bytes
 
-    def row(self, block: int) -> pa.RecordBatch:
+    def _packs(self, buckets: int) -> tuple[list[dict], np.ndarray]:
+        """Pre-tokens by bucket, and the place of each old number in that order."""
+        pre = [p.encode() for p in self.number]
+        at = sorted(((zlib.crc32(p) % buckets, p, k) for k, p in enumerate(pre)))
+        place = np.empty(len(pre), dtype=np.int64)
+        place[[k for _, _, k in at]] = np.arange(len(pre))
+        bucket = np.array([x[0] for x in at], dtype=np.int64)
+        cut = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(at)] if at else [0]
+        return [{"bucket": at[a][0], "pretokens": _pack_strings([p for _, p, _ in at[a:b]])}
+                for a, b in zip(cut[:-1], cut[1:])], place
+
+    def row(self, block: int, buckets: int) -> pa.RecordBatch:
+        packs, place = self._packs(buckets)
+        ends = np.array(self.ends, dtype=np.int64)
+        doc = np.repeat(np.arange(len(ends)), np.diff(np.r_[0, ends]))
+        terms = place[np.frombuffer(self.terms, np.int32)] if len(self.terms) else np.empty(0, np.int64)
+        order = np.lexsort((terms, doc))
+        counts = np.frombuffer(self.counts, np.int32)[order] if len(terms) else np.empty(0, np.int32)
+        steps = np.diff(np.r_[0, terms[order]])                # rising within a document
         one = lambda v, t: pa.array([v], pa.list_(t))
         return pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), one(self.ids, pa.int64()), one(self.bytes, pa.int64()), one(self.known, pa.int64()),
-             one(self.ends, pa.int32()), one(self.terms, pa.int32()), one(self.counts, pa.int32()), one(list(self.number), pa.string())],
-            names=["block", "doc_ids", "n_bytes", "known", "ends", "terms", "counts", "pretokens"])
+             one(ends.astype(np.int32), pa.int32()), pa.array([_pack_ints(steps)], pa.binary()),
+             pa.array([_pack_ints(counts)], pa.binary()),
+             one(packs, pa.struct([("bucket", pa.int32()), ("pretokens", pa.binary())]))],
+            names=["block", "doc_ids", "n_bytes", "known", "ends", "terms", "counts", "packs"])
 
 
-def _block_rows(path: str, block_bytes: int):
+def _block_rows(path: str, block_bytes: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, block = pre_tokens(path), _Block()
         at = TaskContext.get().partitionId() << 32
@@ -181,38 +231,49 @@ def _block_rows(path: str, block_bytes: int):
             for i, text in zip(b.column(0).to_pylist(), b.column(1)):
                 block.add(i, text.as_py() or "", text.as_buffer().size if text.is_valid else 0, cut)
                 if block.size >= block_bytes:
-                    yield block.row(at)
+                    yield block.row(at, buckets)
                     block, at = _Block(), at + 1
         if block.ids:
-            yield block.row(at)
+            yield block.row(at, buckets)
     return run
 
 
-def _piece_rows(path: str):
+def _piece_rows(path: str, remembered: int):
+    """Rows (block, bucket, pretokens), those of a bucket together."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = pre_tokens(path)
+        cut, bucket, cache = pre_tokens(path), None, Cache(remembered)
         for b in batches:
-            n = [cut.pieces(p) for p in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=["pretoken", "pieces"])
+            out = []
+            for k, packed in zip(b.column(1).to_pylist(), b.column(2)):
+                if k != bucket:
+                    bucket, cache = k, Cache(remembered)
+                got = []
+                for p in _unpack_strings(packed.as_py()):
+                    n = cache.get(p)
+                    got.append(cache.put(p, cut.pieces(p.decode())) if n is None else n)
+                out.append(_pack_ints(np.array(got)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())],
+                                             names=["block", "bucket", "pieces"])
     return run
 
 
 def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for r in range(b.num_rows):
-            ids, n_bytes, known, ends, terms, counts, at, pieces = (b.column(c)[r].values for c in range(8))
+            ids, n_bytes, known, ends = (b.column(c)[r].values for c in range(4))
+            steps, counts = (_unpack_ints(b.column(c)[r].as_py()) for c in (4, 5))
             total = known.to_numpy(zero_copy_only=False).copy()
-            if len(terms):
-                value = np.zeros(len(at), dtype=np.int64)
-                value[at.to_numpy()] = pieces.to_numpy()
-                upto = np.r_[0, np.cumsum(value[terms.to_numpy()] * counts.to_numpy().astype(np.int64))]
+            if len(steps):
+                value = np.concatenate([_unpack_ints(x) for x in b.column(6)[r].as_py()])
+                terms = np.cumsum(steps.astype(np.uint32).view(np.int32).astype(np.int64))
+                upto = np.r_[0, np.cumsum(value[terms] * counts)]
                 cut = np.r_[0, ends.to_numpy()]
                 total += upto[cut[1:]] - upto[cut[:-1]]
             yield pa.RecordBatch.from_arrays([ids, n_bytes, pa.array(total)], names=["doc_id", "n_bytes", "n_tokens"])
 
 
 def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, remembered: int = REMEMBERED) -> DataFrame:
     """One row per input row: ``doc_id, n_bytes`` (UTF-8) and ``n_tokens``, as
     the library of the tokenizer in ``path`` gives them without added tokens.
 
@@ -226,16 +287,14 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     pre_tokens(path)
     if block_bytes < 1:
         raise ValueError("block_bytes must be positive")
+    n = shuffle_partitions(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    blocks = cut_lineage(docs.mapInArrow(_block_rows(path, block_bytes), BLOCKS), "token-profiles")
-    wanted = blocks.select("block", F.posexplode("pretokens").alias("at", "pretoken"))
-    pieces = cut_lineage(wanted.select("pretoken").distinct().mapInArrow(_piece_rows(path), "pretoken string, pieces long"),
-                         "token-pieces")
-    found = (wanted.join(pieces, "pretoken").groupBy("block")
-                   .agg(F.collect_list(F.struct("at", "pieces")).alias("got"))
-                   .select("block", F.col("got.at").alias("at"), F.col("got.pieces").alias("pieces")))
-    none = lambda c, t: F.coalesce(c, F.array().cast(f"array<{t}>"))
-    return (blocks.drop("pretokens").join(found, "block", "left")
-                  .select("doc_ids", "n_bytes", "known", "ends", "terms", "counts", none("at", "int").alias("at"),
-                          none("pieces", "long").alias("pieces"))
+    blocks = cut_lineage(docs.mapInArrow(_block_rows(path, block_bytes, n), BLOCKS), "token-profiles")
+    pieces = (blocks.select("block", F.explode("packs").alias("p")).select("block", "p.bucket", "p.pretokens")
+                    .repartition(n, "bucket").sortWithinPartitions("bucket")
+                    .mapInArrow(_piece_rows(path, remembered), "block long, bucket int, pieces binary"))
+    found = (pieces.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "pieces"))).alias("got"))
+                   .select("block", F.col("got.pieces").alias("pieces")))
+    return (blocks.drop("packs").join(found, "block", "left")
+                  .select("doc_ids", "n_bytes", "known", "ends", "terms", "counts", "pieces")
                   .mapInArrow(_sum_rows, "doc_id long, n_bytes long, n_tokens long"))

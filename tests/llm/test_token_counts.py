@@ -55,7 +55,7 @@ def test_long_texts_are_cut_before_spaces_only():
 @pytest.mark.parametrize("path,block_bytes", [(BYTE, 8 << 20), (BYTE, 500), (WORD, 3000)])
 def test_counts_of_the_fixture(spark, path, block_bytes):
     rows = corpus() + [(95, "a <|endoftext|> b<|endoftext|>"), (96, "Σας ΑΣ 12 ٣٤ ½")]
-    got = count_tokens(table(spark, rows).repartition(3), path, block_bytes=block_bytes)
+    got = count_tokens(table(spark, rows).repartition(3), path, block_bytes=block_bytes, remembered=block_bytes // 100)
     assert got.columns == ["doc_id", "n_bytes", "n_tokens"]
     order = lambda r: (key(r[0]), r[1], r[2])
     want = sorted(((i, len((t or "").encode()), direct(path, t)) for i, t in rows), key=order)
