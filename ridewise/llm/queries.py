@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ridewise.llm import (decontaminate, exact_dedup, line_dedup, link_graph, near_dedup, packing, quality_classifier,
+from ridewise.llm import (decontaminate, exact_dedup, lexical_search, line_dedup, link_graph, near_dedup, packing, quality_classifier,
                           substring_dedup, token_counts, token_records, tool_calls)
 from ridewise.llm.common import NULL_ID, prepare, read_table, scratch_path
 
@@ -222,3 +222,21 @@ TOKEN_LIMIT = 1024
 def op11_token_counts(spark, sf_dir):
     out = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), COUNT_TOKENIZER)
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op12_lexical_search", r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+c AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term, nd),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nd) // l))))::BIGINT AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN d USING (doc_id), c GROUP BY ALL),
+r AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+      FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""")
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 10)
