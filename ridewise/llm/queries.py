@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ridewise.llm import (decontaminate, exact_dedup, lexical_search, line_dedup, link_graph, near_dedup, packing, quality_classifier,
+from ridewise.llm import (decontaminate, exact_dedup, hard_negatives, lexical_search, line_dedup, link_graph, near_dedup, packing, quality_classifier,
                           substring_dedup, token_counts, token_records, tool_calls)
 from ridewise.llm.common import NULL_ID, prepare, read_table, scratch_path
 
@@ -240,3 +240,21 @@ r AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DE
 SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""")
 def op12_lexical_search(spark, sf_dir):
     return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 10)
+
+
+@query("op13_hard_negatives", r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY rank <= 3""")
+def op13_hard_negatives(spark, sf_dir):
+    """Every seventh label is moved on by one, so that labels and neighbours disagree."""
+    moved = F.when(F.pmod(F.col("vec_id"), F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", moved))

@@ -20,5 +20,5 @@ def test_matches_duckdb(spark, duck, name):
 def test_registered():
     import __spark_entry__ as e
     names = e.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(SQL) <= set(e.oracle_sql())
