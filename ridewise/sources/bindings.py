@@ -346,7 +346,11 @@ KM_PER_DEGREE = 111.0
 
 
 def rider_day_features(t: DataFrame, skew_safe: bool = True, bucket_minutes: int = 10) -> DataFrame:
-    """trip_count_today, cancellations_today, location_jump_km per rider-day.
+    """trip_count_today, cancellations_today, location_jump_km and new_device.
+
+    ``cancellations_today`` counts the rider's earlier cancellations of the day,
+    not the trip itself. ``new_device`` is 1 for the first trip from a device the
+    rider has not used before, the rider's first trip of all excepted.
 
     ``skew_safe`` (default): a rider-day may hold a large share of all rows,
     so no window or task is keyed by the rider-day alone.
@@ -370,30 +374,51 @@ def rider_day_features(t: DataFrame, skew_safe: bool = True, bucket_minutes: int
     if not skew_safe:
         w_day = Window.partitionBy(*keys)
         w_ord = w_day.orderBy(*order)
-        return t.withColumns({
+        return with_new_device(t).withColumns({
             "trip_count_today": F.count(F.lit(1)).over(w_day),
-            "cancellations_today": F.sum(is_err).over(w_day),
+            "cancellations_today": F.coalesce(F.sum(is_err).over(w_ord.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
             "location_jump_km": jump_of(F.lag("pickup_lat").over(w_ord), F.lag("pickup_lon").over(w_ord))})
-    counts = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count_today"),
-                                  F.sum(is_err).alias("cancellations_today"))
+    counts = t.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count_today"))
     bucket = ((F.hour("ts") * 60 + F.minute("ts")) / bucket_minutes).cast("int")
     r = t.withColumn("__b", bucket)
     wb = Window.partitionBy(*keys, "__b").orderBy(*order)
-    r = r.withColumns({"__plat": F.lag("pickup_lat").over(wb), "__plon": F.lag("pickup_lon").over(wb)})
+    r = with_new_device(r).withColumns({
+        "__plat": F.lag("pickup_lat").over(wb), "__plon": F.lag("pickup_lon").over(wb),
+        "__c": F.coalesce(F.sum(is_err).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
     lasts = (t.withColumn("__b", bucket).groupBy(*keys, "__b")
-              .agg(F.max_by(F.struct("pickup_lat", "pickup_lon"), F.struct(*order)).alias("__l")))
-    prev = lasts.select(*keys, "__b", F.lag("__l").over(Window.partitionBy(*keys).orderBy("__b")).alias("__p"))
+              .agg(F.max_by(F.struct("pickup_lat", "pickup_lon"), F.struct(*order)).alias("__l"), F.sum(is_err).alias("__e")))
+    wp = Window.partitionBy(*keys).orderBy("__b")
+    prev = lasts.select(*keys, "__b", F.lag("__l").over(wp).alias("__p"),
+                        F.coalesce(F.sum("__e").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     r = r.join(prev, keys + ["__b"], "left")
     first = F.col("__plat").isNull() & F.col("__p").isNotNull()
     plat = F.when(first, F.col("__p.pickup_lat")).otherwise(F.col("__plat"))
     plon = F.when(first, F.col("__p.pickup_lon")).otherwise(F.col("__plon"))
-    r = r.withColumn("location_jump_km", jump_of(plat, plon)).drop("__b", "__plat", "__plon", "__p")
-    return r.join(counts, keys)
+    r = r.withColumns({"location_jump_km": jump_of(plat, plon), "cancellations_today": F.col("__c") + F.col("__before")})
+    return r.drop("__b", "__plat", "__plon", "__p", "__c", "__before").join(counts, keys)
+
+
+def device_of(trip_id: Column) -> Column:
+    """The device a trip was booked from: mostly the rider's usual one (0), in
+    one of twenty trips one of 50 others."""
+    return F.when(pm(trip_id * 17, 20) == 0, pm(trip_id, 50) + 1).otherwise(F.lit(0)).cast("int")
+
+
+def with_new_device(t: DataFrame) -> DataFrame:
+    """Adds ``new_device``. First trips are grouped minima, joined back, so no
+    task holds a rider."""
+    t = t.withColumn("device_id", device_of(F.col("trip_id")))
+    first = t.groupBy("customer_id", "device_id").agg(F.min(F.struct("ts", "trip_id")).alias("__f"))
+    ever = first.groupBy("customer_id").agg(F.min("__f").alias("__ever"))
+    first = first.join(ever, "customer_id").where(F.col("__f") != F.col("__ever")).select(F.col("__f.trip_id").alias("trip_id"),
+                                                                                             F.lit(1).alias("new_device"))
+    return t.join(first, "trip_id", "left").withColumn("new_device", F.coalesce("new_device", F.lit(0)))
 
 
 def fraud_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per trip with the rider's day features. The label is the given
-    one (``event_type = 'error'``); no value depends on it."""
+    one (``event_type = 'error'``); a trip's values do not depend on its own
+    label, only on those of the rider's earlier trips."""
     t = rider_day_features(trips(spark, sf_dir))
     eid = F.col("trip_id")
     fraud = F.coalesce(F.col("trip_type") == "error", F.lit(False))
@@ -404,7 +429,7 @@ def fraud_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(3.0) + pm(eid * 7, 201) / 100).alias("driver_rating"),
         (F.lit(3.0) + pm(F.col("customer_id") * 11, 201) / 100).alias("customer_rating"),
         F.col("trip_count_today").cast("int").alias("trip_count_today"),
-        (pm(eid * 17, 20) == 0).cast("int").alias("new_device"),
+        "new_device",
         (pm(eid * 19, 25) < 2).cast("int").alias("new_payment_method"),
         "location_jump_km",
         pick([1.0, 1.0, 1.0, 1.0, 1.2, 1.2, 1.5, 2.0], pm(eid * 3, 8)).alias("surge_multiplier"),

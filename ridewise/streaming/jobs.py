@@ -102,6 +102,18 @@ def fraud_scoring(stream: DataFrame, frozen_bound: float) -> DataFrame:
                          F.array_join(fraud_patterns(frozen_bound), ",").alias("patterns"))
 
 
+def model_scoring(stream: DataFrame, model, version: str, frozen_bound: float | None = None) -> DataFrame:
+    """K3 with stored models: a fitted pipeline (scaler, forest, network,
+    classifier, ensemble) and, with a bound, the pattern flags. Nothing is
+    fitted or rescaled on a micro-batch, so the stream scores as a batch would."""
+    out = model.transform(stream)
+    cols = ["trip_id", "is_fraud", "iso_score", "recon_error", "ae_score", "xgb_score", "ensemble_score", "is_flagged"]
+    if frozen_bound is not None:
+        out = out.withColumn("patterns", F.array_join(fraud_patterns(frozen_bound), ","))
+        cols.append("patterns")
+    return out.select(*cols, F.lit(version).alias("model_version"))
+
+
 # --------------------------------------------------------------------------- K4
 
 K4_OUT = T.StructType([
