@@ -7,26 +7,31 @@ from pyspark.sql import functions as F
 
 from ridewise import constants as K
 from ridewise.plans.catalog import register
-from ridewise.plans.sql_views import D, fraud_trips_cte, rhu, rides_cte, trips_cte, with_
+from ridewise.plans.sql_views import D, device, fraud_trips_cte, pm, rhu, rides_cte, trips_cte, with_
 from ridewise.session import cut_lineage, scratch_path
 from ridewise.sources import bindings as B
+from ridewise.sources.tables import read_table
 from ridewise.streaming import jobs
 
 R6 = 6
 
 
+def _last(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+
+
 @register("stream_zone_window_demand", with_(trips_cte()) + f"""
 , w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, neighborhood, count(*) AS requests,
+               count(DISTINCT {pm('trip_id * 29', 211)} + 1) AS active_drivers,
                sum(completed) AS completed, round(sum(fare_usd), {R6}) AS fares
         FROM trips GROUP BY 1, 2)
-SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, neighborhood, requests,
-       CAST(completed AS BIGINT) AS completed, fares, {rhu('requests / (completed + 1)', 2)} AS demand_supply_ratio
-FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM trips) - INTERVAL 10 MINUTE""",
-          ops=("K1", "E5"))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, neighborhood, requests, active_drivers,
+       CAST(completed AS BIGINT) AS completed, fares, {rhu('requests / (active_drivers + 1)', 2)} AS demand_supply_ratio
+FROM w""", ops=("K1", "E5"))
 def stream_zone_window_demand(spark, sf_dir):
-    t = B.trips_from_events(jobs.event_stream(spark, sf_dir))
-    out = jobs.run_available_now(jobs.zone_window_demand(t), "k1")
-    return out.select("window_start", "window_end", "neighborhood", "requests",
+    out, _ = jobs.run_to_end(jobs.event_stream(spark, sf_dir), _last(spark, sf_dir),
+                             lambda e: jobs.zone_window_demand(B.trips_from_events(e)), "k1")
+    return out.select("window_start", "window_end", "neighborhood", "requests", "active_drivers",
                       F.col("completed").cast("bigint").alias("completed"), F.round("fares", R6).alias("fares"),
                       "demand_supply_ratio")
 
@@ -74,11 +79,15 @@ def stream_fraud_scoring(spark, sf_dir):
 
 @register("stream_rider_day_state", with_(trips_cte()) + f"""
 , o AS (SELECT *, row_number() OVER w AS rn, lag(pickup_lat) OVER w AS plat, lag(pickup_lon) OVER w AS plon,
-               sum(CAST(trip_type = 'error' AS INTEGER)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+               sum(CAST(trip_type = 'error' AS INTEGER)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c,
+               row_number() OVER (PARTITION BY customer_id ORDER BY ts, trip_id) AS nth,
+               row_number() OVER (PARTITION BY customer_id, {device('trip_id')} ORDER BY ts, trip_id) AS nth_device
         FROM trips WINDOW w AS (PARTITION BY customer_id, date ORDER BY ts, trip_id))
 SELECT trip_id, customer_id, date, CAST(rn AS INTEGER) AS trips_so_far, CAST(c AS INTEGER) AS cancellations_so_far,
-       coalesce({rhu(f'sqrt((pickup_lat - plat) * (pickup_lat - plat) + (pickup_lon - plon) * (pickup_lon - plon)) * {D(111.0)}', 2)}, 0.0) AS location_jump_km
-FROM o WHERE date_trunc('milliseconds', ts) < date_trunc('milliseconds', (SELECT max(ts) FROM trips)) - INTERVAL 10 MINUTE""", ops=("K4",))
+       coalesce({rhu(f'sqrt((pickup_lat - plat) * (pickup_lat - plat) + (pickup_lon - plon) * (pickup_lon - plon)) * {D(111.0)}', 2)}, 0.0) AS location_jump_km,
+       CAST(nth_device = 1 AND nth > 1 AS INTEGER) AS new_device
+FROM o""", ops=("K4",))
 def stream_rider_day_state(spark, sf_dir):
-    t = B.trips_from_events(jobs.event_stream(spark, sf_dir))
-    return jobs.run_available_now(jobs.rider_day_running(t), "k4")
+    out, _ = jobs.run_to_end(jobs.event_stream(spark, sf_dir), _last(spark, sf_dir),
+                             lambda e: jobs.rider_running(B.trips_from_events(e)), "k4", conf=jobs.ROCKSDB)
+    return out

@@ -398,6 +398,11 @@ def rider_day_features(t: DataFrame, skew_safe: bool = True, bucket_minutes: int
     return r.drop("__b", "__plat", "__plon", "__p", "__c", "__before").join(counts, keys)
 
 
+def driver_of(trip_id: Column) -> Column:
+    """The driver a trip was offered to."""
+    return pm(trip_id * 29, 211) + 1
+
+
 def device_of(trip_id: Column) -> Column:
     """The device a trip was booked from: mostly the rider's usual one (0), in
     one of twenty trips one of 50 others."""

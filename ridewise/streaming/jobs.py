@@ -1,26 +1,33 @@
 """Structured Streaming jobs.
 
-K1  zone demand per event-time window (watermark, tumbling window, append)
+K1  zone demand per event-time window: two chained aggregations (per driver, then
+    per zone), so drivers are counted exactly and no group holds a set of them
 K2  stateless price scoring of a request stream (stream-static join)
-K3  fraud-pattern scoring with bounds frozen from the batch table
-K4  per-rider, per-day running features with ``applyInPandasWithState``; a
-    row is emitted once the watermark has passed it, so rows that arrive out
-    of order within the watermark count in event-time order
-
-Every job reads a file stream, writes a parquet sink and keeps its
-checkpoint in the shared folder (``spark.checkpoint.dir``), so a restarted
-query resumes where it stopped. ``run_available_now`` drives a job over the
-data present and returns the sink as a batch DataFrame.
+K3  fraud scoring with stored models and bounds frozen from training
+K4  per-rider running features with ``transformWithStateInPandas`` on the RocksDB
+    state store; a row is emitted once the watermark has passed it, so rows that
+    arrive out of order within the watermark count in event-time order
+
+Every job reads a file stream, writes a parquet sink and keeps its checkpoint in
+the shared folder (``spark.checkpoint.dir``), so a restarted query resumes where it
+stopped. ``run_available_now`` drives a job over the data present and returns the
+sink as a batch DataFrame. ``run_to_end`` does so for a table that is finished: a
+heartbeat then moves the watermark past its last row, so that open windows close
+and held rows come out. Each run writes its progress (input, late rows dropped,
+rows of state, by batch) as a table, ``progress_table``.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ridewise.functions.exprs import round_half_up
 from ridewise.functions.rules import fraud_patterns, surge_explanation
@@ -50,39 +57,103 @@ def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", max_fi
     return r.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
+PROGRESS = "job string, batch long, input_rows long, late_rows long, state_rows long, watermark string"
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
+           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+class Run:
+    """One job's sink, checkpoint and progress table; may be started again and
+    goes on where it stopped."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.sink, self.checkpoint, self.progress = (scratch_path(spark, f"{name}-{k}") for k in ("sink", "ckpt", "progress"))
+
+    def start(self, df: DataFrame, output_mode: str = "append", timeout_s: int | None = None, conf: dict | None = None) -> None:
+        """Runs the job over all data present. No time limit unless one is given."""
+        spark = self.spark
+        before = {k: spark.conf.get(k, None) for k in conf or {}}
+        try:
+            for k, v in (conf or {}).items():
+                spark.conf.set(k, v)
+            q = (df.writeStream.format("parquet").option("path", self.sink).option("checkpointLocation", self.checkpoint)
+                   .outputMode(output_mode).trigger(availableNow=True).start())
+            if timeout_s is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(timeout_s):
+                q.stop()
+                raise TimeoutError(f"streaming job {self.name} did not finish in {timeout_s}s")
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        rows = []
+        for p in map(lambda x: json.loads(x.json), q.recentProgress):
+            state = p.get("stateOperators", [])
+            rows.append((self.name, p["batchId"], p["numInputRows"], sum(o.get("numRowsDroppedByWatermark", 0) for o in state),
+                         sum(o.get("numRowsTotal", 0) for o in state), p.get("eventTime", {}).get("watermark")))
+        spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.progress)
+
+    def rows(self, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.sink)
+
+    def progress_table(self) -> DataFrame:
+        """One row a batch: input rows, rows dropped as too late, rows of state."""
+        return self.spark.read.parquet(self.progress)
+
+
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
                       timeout_s: int | None = None) -> DataFrame:
-    """Runs the job over all data present and reads the sink. No time limit
-    unless one is given."""
-    spark = df.sparkSession
-    sink = scratch_path(spark, f"{name}-sink")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
-           .outputMode(output_mode).trigger(availableNow=True).start())
-    if timeout_s is None:
-        q.awaitTermination()
-    elif not q.awaitTermination(timeout_s):
-        q.stop()
-        raise TimeoutError(f"streaming job {name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.schema(df.schema).parquet(sink)
+    """Runs the job over all data present and reads the sink."""
+    run = Run(df.sparkSession, name)
+    run.start(df, output_mode, timeout_s)
+    return run.rows(df.schema)
+
+
+def run_to_end(events: DataFrame, last, job: Callable[[DataFrame], DataFrame], name: str, time_col: str = "ts",
+               conf: dict | None = None) -> tuple[DataFrame, Run]:
+    """Runs ``job`` over a stream whose table is finished, until every row of it
+    is out. ``last``: the greatest event time of the table.
+
+    A second file stream, empty at first, joins the events. Once the job has taken
+    in all of them, a heartbeat is written there: a row two days later, null but
+    for its time. Taking it in moves the watermark past all rows; it stays in
+    state itself (no watermark passes it) and so never reaches the sink.
+    """
+    spark = events.sparkSession
+    beat = scratch_path(spark, f"{name}-heartbeat")
+    path = spark._jvm.org.apache.hadoop.fs.Path(beat)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    df = job(events.unionByName(spark.readStream.schema(events.schema).parquet(beat)))
+    run = Run(spark, name)
+    run.start(df, conf=conf)
+    if last is not None:
+        late = spark.range(1).select(*[(F.lit(last).cast(f.dataType) + F.expr("INTERVAL 2 DAYS") if f.name == time_col else
+                                        F.lit(None).cast(f.dataType)).alias(f.name) for f in events.schema.fields])
+        late.write.mode("append").parquet(beat)
+        run.start(df, conf=conf)
+    return run.rows(df.schema), run
 
 
 # --------------------------------------------------------------------------- K1
 
 def zone_window_demand(trips: DataFrame) -> DataFrame:
-    """K1: requests, completions, fares and requests per completed trip (plus
-    one, as in B17) per (hour window, zone), with a 10-minute watermark; a
-    window is emitted once the watermark has closed it (append)."""
+    """K1: requests, active drivers, completions, fares, and requests per active
+    driver (plus one, as in B17) per (hour window, zone), with a 10-minute
+    watermark; a window is emitted once the watermark has closed it (append)."""
     t = trips.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", WATERMARK)
-    g = (t.groupBy(F.window("event_time", WINDOW).alias("w"), "neighborhood")
-          .agg(F.count(F.lit(1)).alias("requests"), F.sum("completed").alias("completed"),
-               F.sum("fare_usd").alias("fares")))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "neighborhood", "requests",
+    t = t.withColumn("driver_id", B.driver_of(F.col("trip_id")))
+    by_driver = (t.groupBy(F.window("event_time", WINDOW).alias("w"), "neighborhood", "driver_id")
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum("completed").alias("done"), F.sum("fare_usd").alias("paid")))
+    g = (by_driver.groupBy(F.window(F.window_time("w"), WINDOW).alias("v"), "neighborhood")
+                  .agg(F.sum("n").alias("requests"), F.count("driver_id").alias("active_drivers"), F.sum("done").alias("completed"),
+                       F.sum("paid").alias("fares")))
+    return g.select(F.col("v.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("v.end").cast("timestamp_ntz").alias("window_end"), "neighborhood", "requests", "active_drivers",
                     "completed", "fares",
-                    round_half_up(F.col("requests") / (F.col("completed") + 1), 2).alias("demand_supply_ratio"))
+                    round_half_up(F.col("requests") / (F.col("active_drivers") + 1), 2).alias("demand_supply_ratio"))
 
 
 # --------------------------------------------------------------------------- K2
@@ -120,59 +191,90 @@ K4_OUT = T.StructType([
     T.StructField("trip_id", T.LongType()), T.StructField("customer_id", T.LongType()),
     T.StructField("date", T.DateType()), T.StructField("trips_so_far", T.IntegerType()),
     T.StructField("cancellations_so_far", T.IntegerType()), T.StructField("location_jump_km", T.DoubleType()),
-])
-K4_STATE = T.StructType([
-    T.StructField("n", T.IntegerType()), T.StructField("cancels", T.IntegerType()),
-    T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()),
-    # rows the watermark has not passed yet
-    T.StructField("ts", T.ArrayType(T.LongType())), T.StructField("ids", T.ArrayType(T.LongType())),
-    T.StructField("errors", T.ArrayType(T.IntegerType())), T.StructField("lats", T.ArrayType(T.DoubleType())),
-    T.StructField("lons", T.ArrayType(T.DoubleType())),
+    T.StructField("new_device", T.IntegerType()),
 ])
 KM_PER_DEGREE = 111.0
+DAY_MS = 86_400_000
+HELD = ("ms", "trip_id", "error", "lat", "lon", "device")
+
+
+class RiderState(StatefulProcessor):
+    """Running features of one rider, the unit of state (they are sequential).
+
+    * ``held``: rows the watermark has not passed yet; a timer at the earliest one
+    * ``days``: per day the trips, cancellations and last pickup; a timer at the end of
+      the day drops its entry, once no row of that day can come any more
+    * ``devices``: the devices the rider has been seen with
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", "ms long, trip_id long, error int, lat double, lon double, device int")
+        self.days = handle.getMapState("days", "day long", "n int, cancels int, lat double, lon double")
+        self.devices = handle.getMapState("devices", "device int", "since long")
 
+    def handleInputRows(self, key, rows, timerValues):
+        frames = [p[list(HELD)] for p in rows if len(p)]
+        yield from self._advance(key, pd.concat(frames, ignore_index=True) if frames else None, timerValues.getCurrentWatermarkInMs())
 
-def _rider_day_state(key, pdfs, state):
-    """One rider-day. New rows join the held ones; rows the watermark has passed
-    are emitted in event-time order and leave their counts behind; the others
-    wait, with a timeout at the earliest of them."""
-    if state.exists:
-        n, cancels, lat, lon, *held = state.get
-    else:
-        n, cancels, lat, lon, held = 0, 0, None, None, [[], [], [], [], []]
-    rows = pd.DataFrame(dict(zip(("ms", "id", "err", "lat", "lon"), held)))
-    fresh = [pd.DataFrame({"ms": p["ms"], "id": p["trip_id"], "err": (p["trip_type"] == "error").astype(int),
-                           "lat": p["pickup_lat"], "lon": p["pickup_lon"]}) for p in pdfs if len(p)]
-    rows = pd.concat([r for r in [rows, *fresh] if len(r)] or [rows], ignore_index=True)
-    rows = rows.sort_values(["ms", "id"], kind="stable", ignore_index=True)
-    ready = int((rows["ms"] < state.getCurrentWatermarkMs()).sum())
-    out, wait = rows.iloc[:ready], rows.iloc[ready:]
-    if ready:
-        plat, plon = out["lat"].shift(), out["lon"].shift()
-        if lat is not None:
-            plat.iloc[0], plon.iloc[0] = lat, lon
-        d = np.sqrt((out["lat"] - plat) * (out["lat"] - plat) + (out["lon"] - plon) * (out["lon"] - plon)) * KM_PER_DEGREE
-        yield pd.DataFrame({"trip_id": out["id"].astype("int64"), "customer_id": key[0], "date": key[1],
-                            "trips_so_far": np.arange(n + 1, n + ready + 1, dtype=np.int32),
-                            "cancellations_so_far": (cancels + out["err"].cumsum()).astype("int32"),
-                            "location_jump_km": (np.floor(d * 100.0 + 0.5) / 100.0).fillna(0.0)})
-        n, cancels = n + ready, cancels + int(out["err"].sum())
-        lat, lon = float(out["lat"].iloc[-1]), float(out["lon"].iloc[-1])
-    day_end = int(pd.Timestamp(key[1]).tz_localize("UTC").timestamp() * 1000) + 86_400_000
-    if not len(wait) and state.getCurrentWatermarkMs() >= day_end:
-        if state.exists:
-            state.remove()
-        return
-    state.update((n, cancels, lat, lon, *(wait[c].tolist() for c in ("ms", "id", "err", "lat", "lon"))))
-    due = int(wait["ms"].iloc[0]) + 1 if len(wait) else day_end
-    state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-
-
-def rider_day_running(trips: DataFrame) -> DataFrame:
-    """K4: running trip count, cancellations and location jump per rider-day.
-    A rider-day is the unit of state; a rider's days are spread over tasks."""
-    t = (trips.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", WATERMARK)
-              .withColumn("ms", F.unix_millis("event_time"))
-              .select("trip_id", "customer_id", "date", "ms", "event_time", "trip_type", "pickup_lat", "pickup_lon"))
-    return t.groupBy("customer_id", "date").applyInPandasWithState(
-        _rider_day_state, K4_OUT, K4_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._advance(key, None, timerValues.getCurrentWatermarkInMs())
+
+    def _advance(self, key, fresh, watermark: int):
+        held = pd.DataFrame(list(self.held.get()) if self.held.exists() else [], columns=list(HELD))
+        rows = held if fresh is None else fresh if not len(held) else pd.concat([held, fresh], ignore_index=True)
+        rows = rows.sort_values(["ms", "trip_id"], kind="stable", ignore_index=True)
+        ready = int((rows["ms"] < watermark).sum())
+        if ready:
+            yield self._emit(key, rows.iloc[:ready])
+        wait = rows.iloc[ready:]
+        if fresh is not None or ready:
+            if len(wait):
+                self.held.put([(int(a), None if pd.isna(b) else int(b), int(c), float(d), float(e), int(f))
+                               for a, b, c, d, e, f in wait.itertuples(index=False)])
+                self.handle.registerTimer(max(int(wait["ms"].iloc[0]) + 1, watermark + 1))
+            elif self.held.exists():
+                self.held.clear()
+        if self.days.exists():
+            for (day,) in list(self.days.keys()):
+                if (day + 1) * DAY_MS < watermark:
+                    self.days.removeKey((day,))
+
+    def _emit(self, key, out: pd.DataFrame) -> pd.DataFrame:
+        known = {d for (d,) in self.devices.keys()} if self.devices.exists() else set()
+        first = ~out["device"].duplicated() & ~out["device"].isin(known)
+        for ms, device in out.loc[first, ["ms", "device"]].itertuples(index=False):
+            self.devices.updateValue((int(device),), (int(ms),))
+        new = first.astype("int32")
+        if not known:
+            new.iloc[0] = 0                                              # the rider's first trip of all
+        day, parts = (out["ms"] // DAY_MS).astype("int64"), []
+        for d, part in out.groupby(day, sort=True):
+            n, cancels, lat, lon = self.days.getValue((int(d),)) if self.days.containsKey((int(d),)) else (0, 0, None, None)
+            plat, plon = part["lat"].shift(), part["lon"].shift()
+            if lat is not None:
+                plat.iloc[0], plon.iloc[0] = lat, lon
+            jump = np.sqrt((part["lat"] - plat) * (part["lat"] - plat) + (part["lon"] - plon) * (part["lon"] - plon)) * KM_PER_DEGREE
+            parts.append(pd.DataFrame({
+                "trip_id": part["trip_id"].astype("int64"), "customer_id": key[0], "date": pd.Timestamp(int(d) * DAY_MS, unit="ms").date(),
+                "trips_so_far": np.arange(n + 1, n + len(part) + 1, dtype=np.int32),
+                "cancellations_so_far": (cancels + part["error"].cumsum()).astype("int32"),
+                "location_jump_km": (np.floor(jump * 100.0 + 0.5) / 100.0).fillna(0.0), "new_device": new.loc[part.index].astype("int32")}))
+            self.days.updateValue((int(d),), (n + len(part), cancels + int(part["error"].sum()), float(part["lat"].iloc[-1]),
+                                              float(part["lon"].iloc[-1])))
+            self.handle.registerTimer((int(d) + 1) * DAY_MS + 1)
+        return pd.concat(parts, ignore_index=True)
+
+    def close(self) -> None:
+        pass
+
+
+def rider_running(trips: DataFrame) -> DataFrame:
+    """K4: running trip count, cancellations and location jump per rider-day, and
+    whether the rider is on a new device. Run with the ``ROCKSDB`` conf."""
+    t = trips.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", WATERMARK)
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    t = t.select(F.coalesce("customer_id", F.lit(-1)).alias("customer_id"), "event_time", F.unix_millis("event_time").alias("ms"), "trip_id",
+                 F.coalesce((F.col("trip_type") == "error").cast("int"), F.lit(0)).alias("error"), zero(F.col("pickup_lat")).alias("lat"),
+                 zero(F.col("pickup_lon")).alias("lon"), F.coalesce(B.device_of(F.col("trip_id")), F.lit(0)).alias("device"))
+    return t.groupBy("customer_id").transformWithStateInPandas(RiderState(), K4_OUT, "append", "EventTime")

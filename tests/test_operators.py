@@ -239,24 +239,3 @@ def test_density_of_a_given_range(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (50.0,)], "v double")
     h = stats.histogram(df, "v", 4, lo=0.0, hi=2.0, density=True).collect()
     assert sum(r["density"] * (r["bin_hi"] - r["bin_lo"]) for r in h) == pytest.approx(1.0)
-
-
-def test_rider_day_state_counts_late_rows_in_order(spark):
-    """Rows of one rider arrive out of order over several micro-batches."""
-    import datetime as dt
-    import tempfile
-    from ridewise.streaming import jobs
-    day = lambda d, h, m: dt.datetime(2024, 1, d, h, m)
-    batches = [[(1, day(1, 23, 50)), (2, day(2, 0, 1)), (3, day(2, 0, 2))], [(4, day(1, 23, 58)), (5, day(2, 0, 5))],
-               [(6, day(2, 0, 3))], [(9, day(5, 0, 0))]]
-    d = tempfile.mkdtemp(prefix="rw-k4-", dir="/tmp")
-    schema = "trip_id long, customer_id long, date date, ts timestamp_ntz, trip_type string, pickup_lat double, pickup_lon double"
-    for k, rows in enumerate(batches):
-        data = [(i, 7, t.date(), t, "error" if i == 3 else "view", 25.0 + i, -80.0) for i, t in rows]
-        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{d}/t")
-        import time
-        time.sleep(1.1)                     # file order is by modification time
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/t")
-    got = {r["trip_id"]: (r["trips_so_far"], r["cancellations_so_far"]) for r in
-           jobs.run_available_now(jobs.rider_day_running(stream), "k4test").collect()}
-    assert got == {1: (1, 0), 4: (2, 0), 2: (1, 0), 3: (2, 1), 6: (3, 1), 5: (4, 1)}
