@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ridewise import constants as K
 from ridewise.functions import calendar as cal
 from ridewise.functions.exprs import format_id, value_map
-from ridewise.operators import kpi, stats, window
+from ridewise.operators import kpi, sketch, stats, window
 from ridewise.plans.catalog import register
+from ridewise.session import cut_lineage
 from ridewise.plans.sql_views import (D, daily_kpis_cte, drivers_cte, trips_cte, with_)
 from ridewise.sources import bindings as B
 
@@ -173,6 +174,27 @@ def fare_p95_by_type(spark, sf_dir):
                     F.round(F.col("q")[1], R6).alias("median_fare"))
 
 
+SKETCH_PS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@register("fare_sketch_ranks", with_(trips_cte()) + f"""
+SELECT trip_type, unnest(CAST({SKETCH_PS} AS DOUBLE[])) AS p, count(*) AS n, true AS within_bound
+FROM trips WHERE trip_type IS NOT NULL AND fare_usd IS NOT NULL GROUP BY trip_type""", ops=("E12", "E13"))
+def fare_sketch_ranks(spark, sf_dir):
+    """Quantiles from stored sketches of single days, merged by trip type: their
+    exact rank in the table lies within the sketch's bound."""
+    t = B.trips(spark, sf_dir).where(F.col("trip_type").isNotNull() & F.col("fare_usd").isNotNull()).select("trip_type", "date", "fare_usd")
+    days = cut_lineage(sketch.sketch(t, "fare_usd", ["trip_type", "date"]), "fare-sketches")
+    q = sketch.quantiles(sketch.merge(days, ["trip_type"]), SKETCH_PS)
+    q = q.select("trip_type", "n", F.posexplode("quantiles").alias("i", "value")).withColumn("p", F.element_at(F.array(*map(F.lit, SKETCH_PS)), F.col("i") + 1))
+    at = (t.join(F.broadcast(q), "trip_type").groupBy("trip_type", "p", "n")          # five quantiles a trip type
+           .agg(F.sum((F.col("fare_usd") < F.col("value")).cast("long")).alias("below"),
+                F.sum((F.col("fare_usd") <= F.col("value")).cast("long")).alias("upto")))
+    e = sketch.rank_error()
+    return at.select("trip_type", "p", "n", ((F.col("below") / F.col("n") <= F.col("p") + e) & (F.col("upto") / F.col("n") >= F.col("p") - e))
+                     .alias("within_bound"))
+
+
 # ---------------------------------------------------------------- E13 / E14 / B25
 
 @register("driver_quadrants", with_(drivers_cte()) + f"""

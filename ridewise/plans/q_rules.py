@@ -125,7 +125,7 @@ def fraud_pattern_flags(spark, sf_dir):
 
 # ---------------------------------------------------------------- B4 price-request validation
 
-def _price_validation_sql():
+def price_validation_sql():
     zones = ", ".join(repr(z) for z in K.ZONE_NAMES)
     checks = [
         ("hour", "hour BETWEEN 0 AND 23", "hour must be in [0, 23]"),
@@ -154,7 +154,7 @@ def _price_validation_sql():
 SELECT request_id, errors = '' AS is_valid, errors FROM v"""
 
 
-@register("price_request_validation", _price_validation_sql(), ops=("B4", "A8"))
+@register("price_request_validation", price_validation_sql(), ops=("B4", "A8"))
 def price_request_validation(spark, sf_dir):
     v = validate.validate(B.price_requests(spark, sf_dir), validate.price_request_rules())
     return v.select("request_id", "is_valid", F.array_join("errors", "; ").alias("errors"))
@@ -162,7 +162,7 @@ def price_request_validation(spark, sf_dir):
 
 # ---------------------------------------------------------------- B5 match-request validation
 
-def _match_validation_sql():
+def match_validation_sql():
     flags = validate.MATCH_FLAGS
     parts = ["CASE WHEN preferred_car_type IS NULL THEN 'preferred_car_type is required' END",
              f"CASE WHEN preferred_car_type IS NOT NULL AND NOT (preferred_car_type IN ({', '.join(repr(c) for c in K.CAR_TYPES)})) "
@@ -186,7 +186,7 @@ SELECT request_id, preferred_car_type, {', '.join(flags)}, price_sensitivity, to
        errors = '' AS is_valid, errors FROM v"""
 
 
-@register("match_request_validation", _match_validation_sql(), ops=("B5", "A8", "B8"))
+@register("match_request_validation", match_validation_sql(), ops=("B5", "A8", "B8"))
 def match_request_validation(spark, sf_dir):
     m = validate.match_request_defaults(B.match_requests(spark, sf_dir))
     v = validate.validate(m, validate.match_request_rules())

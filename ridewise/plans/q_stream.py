@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ridewise import constants as K
+from ridewise.operators import validate
 from ridewise.plans.catalog import register
+from ridewise.plans.q_rules import match_validation_sql, price_validation_sql
 from ridewise.plans.sql_views import D, device, fraud_trips_cte, pm, rhu, rides_cte, trips_cte, with_
 from ridewise.session import cut_lineage, scratch_path
 from ridewise.sources import bindings as B
@@ -91,3 +93,60 @@ def stream_rider_day_state(spark, sf_dir):
     out, _ = jobs.run_to_end(jobs.event_stream(spark, sf_dir), _last(spark, sf_dir),
                              lambda e: jobs.rider_running(B.trips_from_events(e)), "k4", conf=jobs.ROCKSDB)
     return out
+
+
+# --------------------------------------------------------------------------- A8: request bodies
+
+PRICE_BODY = ("hour int, day_of_week int, month int, distance_km double, weather string, pickup_neighborhood string, "
+              "dropoff_neighborhood string, driver_supply_ratio double, event_demand_multiplier double, active_drivers int, "
+              "pending_requests int")
+MATCH_BODY = "preferred_car_type string, " + ", ".join(f"{f} int" for f in validate.MATCH_FLAGS) + ", price_sensitivity double, top_k int"
+
+
+def _bodies(requests, drop: str):
+    """Requests as JSON texts; every 79th lacks ``drop``, every 83rd breaks off."""
+    k = F.col("request_id")
+    cols = [c for c in requests.columns if c != "request_id"]
+    held = [F.when(F.pmod(k, F.lit(79)) != 0, F.col(c)).alias(c) if c == drop else F.col(c) for c in cols]
+    text = requests.select(k.cast("long").alias("request_id"), F.to_json(F.struct(*held)).alias("body"))
+    return text.withColumn("body", F.when(F.pmod(k, F.lit(83)) == 0, F.expr("substring(body, 1, length(body) - 3)")).otherwise(F.col("body")))
+
+
+def _answers(spark, requests, drop, schema, rules, name, fill=None):
+    path = scratch_path(spark, f"{name}-bodies")
+    _bodies(requests, drop).write.parquet(path)
+    stream = spark.readStream.schema("request_id long, body string").parquet(path)
+    valid, rejected = jobs.request_stream(stream, schema, rules, name, fill)
+    cols = [c for c in valid.columns if c != "request_id"]
+    return valid.select("request_id", F.lit("").alias("errors"), F.lit(True).alias("is_valid"), *cols) \
+                .unionByName(rejected.select("request_id", "errors", F.lit(False).alias("is_valid")), allowMissingColumns=True)
+
+
+def _answers_sql(checked: str, table: str, drop: str, where: str, cols: list[str]) -> str:
+    """The validation twin over bodies that lack ``drop`` or break off."""
+    a = checked.index("v AS (SELECT")
+    sql = checked[:a].replace(f"FROM {where})", f"FROM {where}), {table}b AS (SELECT * REPLACE (CASE WHEN request_id % 79 <> 0 THEN {drop} END "
+                              f"AS {drop}) FROM {table})")
+    tail = checked[a:].replace(f"FROM {table})", f"FROM {table}b)").split("\nSELECT", 1)[0]
+    tail = tail.replace("v AS (SELECT request_id,", "v AS (SELECT *,")
+    shown = ", ".join(f"CASE WHEN ok THEN {c} END AS {c}" for c in cols)
+    return f"""{sql}{tail},
+j AS (SELECT * REPLACE (CASE WHEN request_id % 83 = 0 THEN 'malformed body' ELSE errors END AS errors) FROM v),
+k AS (SELECT *, errors = '' AS ok FROM j)
+SELECT request_id, errors, ok AS is_valid, {shown} FROM k"""
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+@register("stream_price_requests", _answers_sql(price_validation_sql(), "pr", "weather", "rides", _names(PRICE_BODY)), ops=("A8", "B4"))
+def stream_price_requests(spark, sf_dir):
+    return _answers(spark, B.price_requests(spark, sf_dir), "weather", PRICE_BODY, validate.price_request_rules(), "price-requests")
+
+
+@register("stream_match_requests", _answers_sql(match_validation_sql(), "mr", "preferred_car_type", "customers", _names(MATCH_BODY)),
+          ops=("A8", "B5"))
+def stream_match_requests(spark, sf_dir):
+    return _answers(spark, B.match_requests(spark, sf_dir), "preferred_car_type", MATCH_BODY, validate.match_request_rules(),
+                    "match-requests", validate.match_request_defaults)

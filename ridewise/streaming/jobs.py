@@ -137,6 +137,49 @@ def run_to_end(events: DataFrame, last, job: Callable[[DataFrame], DataFrame], n
     return run.rows(df.schema), run
 
 
+# --------------------------------------------------------------------------- A8
+
+def request_stream(bodies: DataFrame, schema: str, rules: list, name: str, fill: Callable[[DataFrame], DataFrame] | None = None,
+                   key: str = "request_id", body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """A stream of JSON request bodies. Every body is parsed by the whole
+    ``schema``, gets its defaults (``fill``) and is checked by ``rules`` (B4, B5); valid
+    requests go to one sink, all others with their errors and the body as it came
+    to a dead-letter sink. Returns both sinks.
+
+    A body that is not JSON or holds a value of another type: ``malformed body``.
+    A batch is computed once and written to a folder of its number in both sinks,
+    so a repeated batch replaces what it had written.
+    """
+    from ridewise.operators.validate import validate
+    spark = bodies.sparkSession
+    run = Run(spark, name)
+    parsed = T.StructType(T._parse_datatype_string(schema).fields + [T.StructField("__corrupt", T.StringType())])
+
+    def write(batch: DataFrame, number: int) -> None:
+        b = F.from_json(body, parsed, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
+        p = batch.select(key, F.col(body).alias("__body"), b.alias("__b"))
+        broken = F.col("__b").isNull() | F.col("__b.__corrupt").isNotNull()
+        flat = p.select(key, "__body", broken.alias("__broken"), *[F.col(f"__b.{f.name}").alias(f.name) for f in parsed.fields[:-1]])
+        v = validate(fill(flat) if fill else flat, rules)
+        v = v.withColumn("errors", F.when(F.col("__broken"), F.lit("malformed body"))
+                                    .otherwise(F.array_join("errors", "; ")))
+        v = v.withColumn("part", F.when(F.col("errors") == "", "valid").otherwise("rejected")).drop("__broken", "is_valid")
+        v.write.mode("overwrite").partitionBy("part").parquet(f"{run.sink}/batch={number}")
+
+    q = (bodies.writeStream.foreachBatch(write).option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    names = [f.name for f in parsed.fields[:-1]]
+    shape = fill(spark.createDataFrame([], schema)).schema if fill else T.StructType(parsed.fields[:-1])
+    out_schema = T.StructType([T.StructField(key, bodies.schema[key].dataType), T.StructField("__body", T.StringType()),
+                               *[shape[n] for n in names], T.StructField("errors", T.StringType()), T.StructField("batch", T.LongType()),
+                               T.StructField("part", T.StringType())])
+    sink = spark.read.schema(out_schema).option("basePath", run.sink).parquet(run.sink)
+    return (sink.where(F.col("part") == "valid").select(key, *names),
+            sink.where(F.col("part") == "rejected").select(key, "errors", F.col("__body").alias(body)))
+
+
 # --------------------------------------------------------------------------- K1
 
 def zone_window_demand(trips: DataFrame) -> DataFrame:
