@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import cut_lineage
+from ridewise.llm.common import cut_lineage, join_side
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -14,9 +14,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        out = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        out = both.where(F.col("b") > F.col("a")).join(join_side(low, "star"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        low = edges.groupBy("a").agg(F.min("b").alias("m"))
+        low = join_side(edges.groupBy("a").agg(F.min("b").alias("m")), "star")
         moved = edges.join(low, "a")
         out = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
     return out.where(F.col("a") != F.col("b")).distinct()
@@ -27,7 +27,9 @@ def components(links: DataFrame) -> DataFrame:
     ``b``); ``comp`` is the smallest node of the component.
 
     Ends when a round changes nothing, which happens after about log n rounds.
-    Every round is one written table, and no node's neighbours meet in one task.
+    Every round is one written table. A node's neighbours are reduced to their
+    smallest map-side, and the smallest ones are written before they are joined
+    back, so both inputs are plain exchanges and a hub's rows can be split.
     """
     edges = cut_lineage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                              .where(F.col("a") != F.col("b")).distinct(), "links")
