@@ -42,7 +42,7 @@ def test_pipeline_saved_loaded_scored_and_cached(spark):
     rng = np.random.default_rng(1)
     rows = [tuple(float(v) for v in rng.normal(size=len(K.PRICING_FEATURES) + 1)) for _ in range(80)]
     df = io.cached(spark.createDataFrame(rows, [*K.PRICING_FEATURES, "price_usd"]))
-    model = forecast.regressor("gbt", K.PRICING_FEATURES, "price_usd", maxIter=2, maxDepth=2).fit(df)
+    model = forecast.forest(K.PRICING_FEATURES, "price_usd", numTrees=2, maxDepth=2).fit(df)
     io.save_model(model, f"{d}/model")
     back = io.load_model(f"{d}/model")
     assert back.stages[0].getInputCols() == K.PRICING_FEATURES
