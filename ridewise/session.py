@@ -39,6 +39,9 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -46,14 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     not survive the loss of an executor. Only a local session (tests) gets a
     fresh scratch folder when the setting is unset.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get(spark.sparkContext.applicationId)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="ridewise-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
+        _LOCAL[spark.sparkContext.applicationId] = d
     spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
