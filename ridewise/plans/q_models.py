@@ -9,7 +9,7 @@ numbers (``fixed_model_scores``) and for one tree (``boosted_first_tree``).
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from ridewise import constants as K
@@ -226,21 +226,31 @@ FIXED_STUMPS = [(0, 60.0, -0.5, 0.75), (2, 2.0, -0.25, 0.5)]        # feature, g
 FIXED_START, FIXED_AUCS, FIXED_BOUNDS = -1.0, [0.5, 0.75, 0.75], [0.125, 0.875]
 
 
-def fixed_pipeline() -> PipelineModel:
-    """Own stages with given numbers, as a user would load them."""
-    z = [f"z_{c}" for c in FIXED_COLS]
-    edges = {f: sorted(t for g, t, *_ in FIXED_STUMPS if g == f) for f in range(len(FIXED_COLS))}
+def stump_arrays(stumps, n_features: int, start: float, gains=None) -> dict[str, np.ndarray]:
+    """A boosted model of trees with one split each: (feature, greatest value that goes left, values of the leaves)."""
+    edges = [sorted(t for g, t, *_ in stumps if g == f) for f in range(n_features)]
     trees = []
-    for f, t, left, right in FIXED_STUMPS:
+    for (f, t, left, right), gain in zip(stumps, gains or [1.0] * len(stumps)):
         tree = Tree()
-        tree.split(0, f, edges[f].index(t), 1.0)
+        tree.split(0, f, edges[f].index(t), gain)
         tree.value[1:] = [left, right]
         trees.append(tree)
+    return model_arrays([np.array(e) for e in edges], trees, start)
+
+
+def stumps_sql(stumps, start: float, names=lambda f: f"x{f}") -> str:
+    """The same model's margin; a null feature goes left."""
+    return D(start) + "".join(f" + CASE WHEN {names(f)} > {D(t)} THEN {D(b)} ELSE {D(a)} END" for f, t, a, b in stumps)
+
+
+def fixed_pipeline() -> PipelineModel:
+    """Own stages with given numbers, as a user would load them."""
+    z = [f"z_{c}" for c in FIXED_COLS]
     return PipelineModel([
         est.ScalingModel({"shift": FIXED_SHIFT, "width": FIXED_WIDTH}).with_params(inputCols=FIXED_COLS),
         est.IsolationForestModel(est.forest_arrays(FIXED_TREES, FIXED_PSI)).with_params(inputCols=z),
         est.AutoencoderModel(est.network_arrays(FIXED_LAYERS) | {"threshold": [FIXED_CUT]}).with_params(inputCols=z),
-        HistogramBoostingModel(model_arrays([np.array(edges[f]) for f in edges], trees, FIXED_START))
+        HistogramBoostingModel(stump_arrays(FIXED_STUMPS, len(FIXED_COLS), FIXED_START))
         .with_params(inputCols=FIXED_COLS, outputCol="xgb_score", objective="logistic"),
         est.EnsembleModel({"aucs": FIXED_AUCS, "bounds": FIXED_BOUNDS}).with_params(inputCols=["iso_score", "ae_score", "xgb_score"])])
 
@@ -309,6 +319,57 @@ def stream_fixed_model_scores(spark, sf_dir):
     return _rounded(out).join(out.select("trip_id", "model_version", "patterns"), "trip_id")
 
 
+# ----------------------------------------------------------------- selection among fixed models
+
+SELECT_COLS = ["distance_km", "hour", "event_demand_multiplier", "weather_encoded"]
+#: candidates as (start, stumps, gains of the splits); distances are cut between two steps of their grid
+FIXED_CANDIDATES = {"coarse": (20.0, [(0, 10.005, -8.0, 12.0), (1, 6.5, 2.0, -0.5)], [3.0, 1.0]),
+                    "fine": (16.0, [(0, 5.005, -6.0, 2.0), (0, 15.005, -2.0, 10.0), (0, 25.005, -1.0, 12.0), (1, 16.5, -0.5, 1.5),
+                                    (2, 1.25, -0.5, 3.0), (3, 0.5, -0.25, 1.0)], [4.0, 3.0, 2.0, 1.0, 1.5, 0.5]),
+                    "constant": (25.0, [(3, 1.5, 0.0, 0.0)], [0.0])}
+
+
+def _fixed_selection_sql() -> str:
+    preds, rows = [], []
+    for order, (name, (start, stumps, gains)) in enumerate(FIXED_CANDIDATES.items()):
+        margin = stumps_sql(stumps, start, lambda f: f"coalesce({SELECT_COLS[f]}, 0)")
+        preds.append(f"SELECT '{name}' AS model, {order} AS o, price_usd AS y, {margin} AS p FROM t")
+        by = {f: sum(g for (i, *_), g in zip(stumps, gains) if i == f) for f in range(len(SELECT_COLS))}
+        total = sum(gains)
+        imp = sorted(((-(by[f] / total if total else 0.0), SELECT_COLS[f]) for f in by))
+        rows.append(f"('{name}', '{','.join(c for _, c in imp)}', {D(-imp[0][0])})")
+    return with_(trips_cte(), rides_cte()) + f"""
+, t AS (SELECT * FROM rides WHERE (('0x' || substr(md5(CAST(trip_id AS VARCHAR)), 1, 8))::BIGINT) % 100 < 20),
+p AS ({' UNION ALL '.join(preds)}),
+m AS (SELECT model, o, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse,
+             1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2, avg(abs(y - p) / nullif(abs(y), 0)) * 100 AS mape, count(*) AS n
+      FROM p WHERE y IS NOT NULL GROUP BY model, o),
+best AS (SELECT model FROM m ORDER BY mae, o LIMIT 1)
+SELECT m.model, round(mae, 5) AS mae, round(rmse, 5) AS rmse, round(r2, 5) AS r2, round(mape, 4) AS mape, n,
+       m.model = best.model AS selected, i.features AS features_by_importance, round(i.top, 6) AS top_importance
+FROM m, best, (VALUES {', '.join(rows)}) AS i(model, features, top) WHERE m.model = i.model"""
+
+
+@register("fixed_model_selection", _fixed_selection_sql(), ops=("J1", "J6", "J9", "J10", "J22"))
+def fixed_model_selection(spark, sf_dir):
+    """J9 and J10 with candidates whose trees are given: errors over all test rows,
+    the selected one, and the order of the features by their share of the gain."""
+    r = B.rides(spark, sf_dir).select("trip_id", "price_usd", *SELECT_COLS)
+    s = cut_lineage(split.hash_split(r, "trip_id", 20), "train-test")
+    given = {name: Pipeline(stages=[HistogramBoostingModel(stump_arrays(stumps, len(SELECT_COLS), start, gains)).with_params(inputCols=SELECT_COLS)])
+             for name, (start, stumps, gains) in FIXED_CANDIDATES.items()}
+    metrics, _, models = forecast.evaluate_candidates(spark, s.where(F.col("split") == "train"), s.where(F.col("split") == "test"),
+                                                      "price_usd", given)
+    order = None
+    for name, m in models.items():
+        all_ = forecast.feature_importance(spark, m, SELECT_COLS).groupBy().agg(by_importance().alias("i"))
+        one = all_.select(F.lit(name).alias("model"), F.array_join(F.transform("i", lambda x: x["feature"]), ",").alias("features_by_importance"),
+                          F.round(F.col("i")[0]["importance"], 6).alias("top_importance"))
+        order = one if order is None else order.unionByName(one)
+    return metrics.join(order, "model").select("model", *[F.round(c, 5).alias(c) for c in ("mae", "rmse", "r2")], F.round("mape", 4).alias("mape"),
+                                               "n", "selected", "features_by_importance", "top_importance")
+
+
 # ----------------------------------------------------------------- one boosted tree against SQL
 
 def _tree_sql(l2: float = 1.0) -> str:

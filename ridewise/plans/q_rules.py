@@ -162,7 +162,8 @@ def price_request_validation(spark, sf_dir):
 
 # ---------------------------------------------------------------- B5 match-request validation
 
-def match_validation_sql():
+def match_requests_cte() -> str:
+    """Tables ``mr`` (requests with their defaults) and ``v`` (with their errors)."""
     flags = validate.MATCH_FLAGS
     parts = ["CASE WHEN preferred_car_type IS NULL THEN 'preferred_car_type is required' END",
              f"CASE WHEN preferred_car_type IS NOT NULL AND NOT (preferred_car_type IN ({', '.join(repr(c) for c in K.CAR_TYPES)})) "
@@ -176,13 +177,17 @@ def match_validation_sql():
     flag_sel = ", ".join(
         (f"CAST(coalesce(CASE WHEN customer_id % 11 = 0 THEN NULL ELSE {f} END, 0) AS INTEGER) AS {f}"
          if f == "is_nightlife_user" else f"CAST(coalesce({f}, 0) AS INTEGER) AS {f}") for f in flags)
-    return with_(customers_cte()) + f""", mr AS (
+    return f"""mr AS (
   SELECT customer_id AS request_id, preferred_car_type, {flag_sel},
          coalesce(CASE WHEN customer_id % 13 = 0 THEN NULL ELSE price_sensitivity END, 0.5) AS price_sensitivity,
          CAST(coalesce(CASE WHEN customer_id % 17 = 0 THEN 25 WHEN customer_id % 19 = 0 THEN NULL
                             ELSE customer_id % 10 + 1 END, 5) AS INTEGER) AS top_k
-  FROM customers), v AS (SELECT *, concat_ws('; ', {', '.join(parts)}) AS errors FROM mr)
-SELECT request_id, preferred_car_type, {', '.join(flags)}, price_sensitivity, top_k,
+  FROM customers), v AS (SELECT *, concat_ws('; ', {', '.join(parts)}) AS errors FROM mr)"""
+
+
+def match_validation_sql():
+    return with_(customers_cte(), match_requests_cte()) + f"""
+SELECT request_id, preferred_car_type, {', '.join(validate.MATCH_FLAGS)}, price_sensitivity, top_k,
        errors = '' AS is_valid, errors FROM v"""
 
 
