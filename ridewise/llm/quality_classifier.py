@@ -1,28 +1,29 @@
-"""Quality by compression: two zstandard dictionaries, one trained on blocks
-of good labelled texts and one on blocks of bad ones. A text is cut into
-blocks, every block is compressed with either dictionary, and
+"""Quality by compression: zstandard dictionaries trained on blocks of good
+labelled texts and on blocks of bad ones. A text is cut into blocks, every block
+is compressed with either dictionary, and
 
-    d = (bytes with the bad dictionary - bytes with the good one) / larger sum
+    d = (bytes with the bad dictionary - bytes with the good one) / raw bytes
 
-over the whole text is positive for text that looks like the good sample.
-Blocks keep the dictionaries' share of a long text as large as of a short one.
-Text that repeats itself shrinks with either dictionary, so ``d`` says little
-there; ``r``, the logarithm of good-dictionary bytes over raw bytes, stands
-beside it. A logistic curve fitted on other labelled texts turns ``d`` and
-``r`` into a probability.
+over the whole text is positive for text that looks like the good sample. The raw
+size is the norm, since text that repeats itself shrinks to little with either
+dictionary, which would blow up a share of the compressed size. Blocks keep the
+dictionaries' share of a long text as large as of a short one. Small blocks tell
+words and phrases apart, large ones what repeats over paragraphs; so ``d`` is the
+mean over a few scales (block size and dictionary size), each with its own pair
+of dictionaries. A curve fitted on other labelled texts, monotone and linear
+between its knots, turns ``d`` into a probability.
 
 Bounds. Fitting uses at most ``docs_per_class`` labelled documents a class,
 half for the dictionaries and half for the curve, chosen by a hash of the id;
-of the first half at most ``blocks_per_class`` blocks reach the driver. Class
-shares are counted over all labels. Scoring is one pass over all texts
-without a shuffle.
+of the first half at most ``blocks_per_class`` blocks and ``sample_bytes`` bytes
+a class and scale reach the driver. Class shares are counted over all labels.
+Scoring is one pass over all texts without a shuffle.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,27 +34,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK = 1024
+#: (block bytes, greatest dictionary bytes)
+SCALES = ((512, 96 << 10), (1024, 256 << 10), (4096, 256 << 10), (16384, 512 << 10))
 
 
 @dataclass(frozen=True)
-class Model:
+class Scale:
+    block: int
     good: bytes
     bad: bytes
-    curve: tuple[float, float, float]      # intercept, weights of d and r
-    prior: float                           # share of label 1, the score of an empty text
+
+
+@dataclass(frozen=True)
+class Model:
+    scales: tuple[Scale, ...]
+    knots: tuple[tuple[float, float], ...]  # (d, probability), both rising; empty: the prior for every text
+    prior: float                            # share of label 1, the score of an empty text
     level: int = 3
-    block: int = BLOCK
-    key: str = ""
 
-    def probability(self, d: np.ndarray, r: np.ndarray) -> np.ndarray:
-        a, b, c = self.curve
-        p = 1.0 / (1.0 + np.exp(-np.clip(a + b * d + c * r, -40, 40)))
-        return np.where(np.isnan(r), self.prior, p)
+    def probability(self, d: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
+        if not self.knots:
+            return np.full(len(d), self.prior)
+        x, y = zip(*self.knots)
+        return np.where(n_bytes > 0, np.interp(d, x, y), self.prior)
 
 
-@functools.lru_cache(maxsize=4)
-def _compressors(key: str, good: bytes, bad: bytes, level: int):
+@functools.lru_cache(maxsize=16)
+def _compressors(good: bytes, bad: bytes, level: int):
     out = []
     for raw in (good, bad):
         if not raw:
@@ -65,29 +72,28 @@ def _compressors(key: str, good: bytes, bad: bytes, level: int):
     return out
 
 
-def blocks(text: str, size: int = BLOCK) -> list[bytes]:
-    raw = text.encode()
+def blocks(raw: bytes, size: int) -> list[bytes]:
     return [raw[i:i + size] for i in range(0, len(raw), size)]
 
 
-def size_difference(text: str | None, model: Model) -> tuple[float, float]:
-    """``d`` and ``r`` of a whole text; 0 and NaN for an empty one."""
-    good, bad = _compressors(model.key, model.good, model.bad, model.level)
-    g = b = n = 0
-    for x in blocks(text or "", model.block):
-        g += len(good.compress(x))
-        b += len(bad.compress(x))
-        n += len(x)
-    return ((b - g) / max(g, b), math.log(g / n)) if n else (0.0, math.nan)
+def size_difference(text: str | None, model: Model) -> tuple[float, int]:
+    """``d`` and the bytes of a whole text; 0 and 0 for an empty one."""
+    raw, total = (text or "").encode(), 0.0
+    if not raw:
+        return 0.0, 0
+    for s in model.scales:
+        good, bad = _compressors(s.good, s.bad, model.level)
+        total += sum(len(bad.compress(x)) - len(good.compress(x)) for x in blocks(raw, s.block)) / len(raw)
+    return total / max(len(model.scales), 1), len(raw)
 
 
 def _differences(model: Model, extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = np.array([size_difference(t.as_py(), model) for t in b.column(0)], dtype=np.float64).reshape(-1, 2)
-            d, r = got[:, 0], got[:, 1]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(d), pa.array(r), pa.array(model.probability(d, r))],
-                                             names=[*extra, "difference", "ratio", "score"])
+            got = [size_difference(t.as_py(), model) for t in b.column(0)]
+            d, n = np.array([x[0] for x in got], dtype=np.float64), np.array([x[1] for x in got], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(d), pa.array(n), pa.array(model.probability(d, n))],
+                                             names=[*extra, "difference", "n_bytes", "score"])
     return run
 
 
@@ -96,7 +102,7 @@ def _block_rows(size: int):
         for b in batches:
             cls, out, rank = [], [], []
             for label, text in zip(b.column(0).to_pylist(), b.column(1)):
-                for x in blocks(text.as_py() or "", size):
+                for x in blocks((text.as_py() or "").encode(), size):
                     cls.append(label)
                     out.append(x)
                     rank.append(int.from_bytes(hashlib.blake2b(x, digest_size=7).digest(), "little"))
@@ -118,30 +124,29 @@ def train_dictionary(samples: list[bytes], size: int) -> bytes:
     return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 4), samples, d=8, k=256).as_bytes()
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3) -> tuple[float, ...]:
-    """Weighted logistic regression by Newton steps: intercept, then a weight a column."""
-    scale = np.r_[1.0, np.maximum(x.std(axis=0), 1e-9)]
-    x = np.c_[np.ones(len(x)), x] / scale
-    beta = np.zeros(x.shape[1])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        grad = x.T @ (w * (y - p)) - ridge * beta
-        hess = (x * (w * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(beta))
-        step = np.linalg.solve(hess, grad)
-        beta += np.clip(step, -3, 3)
-        if np.abs(step).max() < 1e-9:
-            break
-    return tuple(float(v) for v in beta / scale)
+def fit_curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[tuple[float, float], ...]:
+    """Weighted monotone regression (pool adjacent violators): the knots are the
+    pools' mean places and mean labels; equal places are one pool from the start."""
+    order = np.argsort(x, kind="stable")
+    pools: list[list[float]] = []                            # sums of weighted places, weighted labels, weights
+    at, first = np.unique(x[order], return_index=True)
+    for place, wy, ws in zip(at, np.add.reduceat((w * y)[order], first), np.add.reduceat(w[order], first)):
+        pools.append([place * ws, wy, ws])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    return tuple((float(p / ws), float(wy / ws)) for p, wy, ws in pools)
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          folds: int = 5, docs_per_class: int = 4000, blocks_per_class: int = 6000, dict_bytes: int = 96 * 1024,
-          level: int = 3, block: int = BLOCK) -> Model:
+          folds: int = 5, docs_per_class: int = 4000, blocks_per_class: int = 6000, sample_bytes: int = 16 << 20,
+          scales: tuple[tuple[int, int], ...] = SCALES, level: int = 3) -> Model:
     """Fits on labelled rows whose fold is not 0.
 
     Rows with a null id, a null or other label, and ids with both labels are
     left out. With one class only, or none, every score is the smoothed share of
-    label 1 (0.5 without labels).
+    label 1 (0.5 without labels). Null and empty texts give no block and no knot; of
+    repeated rows each counts; very long texts give their blocks like many short ones.
     """
     lab = (labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("label"))
                  .where(F.col("__id").isNotNull() & F.col("label").isin(0, 1) & (fold("__id", folds) != 0))
@@ -150,9 +155,8 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     count = {r[0]: r[1] for r in lab.groupBy("label").count().collect()}
     total = sum(count.values())
     share = (count.get(1, 0) + 0.5) / (total + 1) if total else 0.5
-    flat = (math.log(share / (1 - share)), 0.0, 0.0)
     if len(count) < 2:
-        return Model(b"", b"", flat, share, level, block, "prior")
+        return Model((), (), share, level)
     rank = F.xxhash64("__id", F.lit(1))
     # bounded by docs_per_class, hence a safe broadcast
     pick = functools.reduce(DataFrame.unionByName, [
@@ -160,45 +164,46 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = (df.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
               .where(F.col("__text").isNotNull()).join(F.broadcast(pick), "__id")
               .select("label", "__text", (F.xxhash64("__id", F.lit(2)) % 2 == 0).alias("for_curve")))
-    samples = {}
-    cut = (rows.where(~F.col("for_curve")).select("label", "__text")
-               .mapInArrow(_block_rows(block), "label int, block binary, rank long"))
-    both = functools.reduce(DataFrame.unionByName, [
-        cut.where(F.col("label") == c).orderBy("rank", "block").limit(blocks_per_class) for c in (0, 1)])
-    got = both.collect()
-    for c in (0, 1):
-        samples[c] = [bytes(r["block"]) for r in got if r["label"] == c]
-    good, bad = train_dictionary(samples[1], dict_bytes), train_dictionary(samples[0], dict_bytes)
-    key = hashlib.blake2b(good + b"|" + bad, digest_size=8).hexdigest()
-    raw = Model(good, bad, flat, share, level, block, key)
+    fitted = []
+    for block, dict_bytes in scales:
+        cut = (rows.where(~F.col("for_curve")).select("label", "__text")
+                   .mapInArrow(_block_rows(block), "label int, block binary, rank long"))
+        most = max(1, min(blocks_per_class, sample_bytes // block))
+        got = functools.reduce(DataFrame.unionByName, [
+            cut.where(F.col("label") == c).orderBy("rank", "block").limit(most) for c in (0, 1)]).collect()
+        bad, good = (train_dictionary([bytes(r["block"]) for r in got if r["label"] == c], dict_bytes) for c in (0, 1))
+        fitted.append(Scale(block, good, bad))
+    raw = Model(tuple(fitted), (), share, level)
     got = (rows.where("for_curve").select("__text", "label")
-               .mapInArrow(_differences(raw, ["label"]), "label int, difference double, ratio double, score double")
-               .where(~F.isnan("ratio")).select("label", "difference", "ratio").collect())
+               .mapInArrow(_differences(raw, ["label"]), "label int, difference double, n_bytes long, score double")
+               .where(F.col("n_bytes") > 0).select("label", "difference").collect())
     y = np.array([r["label"] for r in got], dtype=np.float64)
     if len(set(y)) < 2:
         return raw
-    x = np.array([(r["difference"], r["ratio"]) for r in got])
     w = np.where(y == 1, count[1] / (y == 1).sum(), count[0] / (y == 0).sum())
-    return Model(good, bad, fit_logistic(x, y, w * len(y) / w.sum()), share, level, block, key)
+    return Model(tuple(fitted), fit_curve(np.array([r["difference"] for r in got]), y, w), share, level)
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", keep: dict[str, Column] | None = None) -> DataFrame:
-    """``keep`` columns beside ``difference``, ``ratio`` and ``score`` (0 to 1).
+    """``keep`` columns beside ``difference``, ``n_bytes`` and ``score`` (0 to 1).
 
-    A null or empty text has difference 0, ratio NaN and scores the share of
-    label 1. Repeated rows score alike; an empty table gives an empty result.
+    A null or empty text has difference 0, 0 bytes and scores the share of label 1.
+    Very long texts are read whole, block by block. Null ids and repeated rows score
+    like any row; an empty table gives an empty result.
     """
     keep = keep or {}
     rows = df.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"),
                      *[c.alias(n) for n, c in keep.items()])
     fields = rows.schema.fields[1:]
-    schema = T.StructType([*fields, *(T.StructField(n, T.DoubleType()) for n in ("difference", "ratio", "score"))])
+    schema = T.StructType([*fields, *(T.StructField(n, t) for n, t in (
+        ("difference", T.DoubleType()), ("n_bytes", T.LongType()), ("score", T.DoubleType())))])
     return rows.mapInArrow(_differences(model, [f.name for f in fields]), schema)
 
 
 def keep_good(df: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
               text_col: str = "text", **fit) -> DataFrame:
-    """The rows of ``df`` that score at least ``threshold``, all columns as they were."""
+    """The rows of ``df`` that score at least ``threshold``, all columns as they were;
+    every case is that of ``score`` and ``train``."""
     model = train(df, labels, id_col, text_col, **fit)
     row = {"__row": F.struct(*[F.col(f"`{c}`") for c in df.columns])}
     return (score(df, model, text_col, row).where(F.col("score") >= threshold)

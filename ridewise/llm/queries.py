@@ -98,10 +98,10 @@ QUALITY_THRESHOLD = 0.3
 def op3_quality_classifier(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = quality_classifier.train(docs, read_table(spark, sf_dir, "labels"))
-    keep = {"doc_id": F.col("doc_id").cast("long"), "held_out": quality_classifier.fold("doc_id") == 0}
+    keep = {"doc_id": F.col("doc_id").cast("long"), "held_out": F.coalesce(quality_classifier.fold("doc_id") == 0, F.lit(False))}
     return (quality_classifier.score(docs, model, keep=keep)
             .select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
-                    "difference", "ratio"))
+                    "difference", "n_bytes"))
 
 
 #: The tool protocol read into ``conversations``: a user's turn calls ``reply``,
