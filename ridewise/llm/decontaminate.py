@@ -1,10 +1,11 @@
 """Benchmark decontamination by greedy string tiling.
 
-1. Seeds. The benchmark's word ``seed``-grams are an index from hash to items.
-   It is built in blocks of at most ``block_bytes`` of text (the size is
-   measured first), each small enough to broadcast; every block meets every
-   document in one scan without a shuffle of text. A benchmark of many blocks
-   costs as many scans, and nothing is left out.
+1. Seeds. The benchmark's word ``seed``-grams are an index from hash to items:
+   two sorted arrays, 12 bytes a gram, beside 8 bytes a word of the items. It is
+   built in blocks of at most ``block_bytes`` of text (the size is measured first),
+   each small enough to broadcast; every block meets every document in one scan
+   without a shuffle of text. A benchmark of many blocks costs as many scans, and
+   nothing is left out.
 2. Tiles. For each document and item that share a seed, running Karp-Rabin
    greedy string tiling marks the longest common runs of words that overlap no
    earlier tile, in falling length, down to ``min_match`` words.
@@ -17,14 +18,15 @@ from __future__ import annotations
 import functools
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridewise.llm.common import hash_words, keyed, kgram_hashes, with_key
+from ridewise.llm.common import hash_words, join_side, keyed, kgram_hashes, with_key
+from ridewise.sources.tables import maybe_broadcast
 
 WORD = re.compile(r"\w+")
 PAIRS = "__id long, __rk long, item_id long, n_tiles int, covered int, item_words int"
@@ -95,25 +97,44 @@ def greedy_tiles(text: np.ndarray, pattern: np.ndarray, min_match: int, start: i
 
 
 class SeedIndex:
-    """Seed hash to places in ``items`` for one block of the benchmark; an id may
-    have several texts, and ids may be null."""
-
-    def __init__(self, items: list[tuple[int | None, np.ndarray]], seed: int):
-        self.items, self.seed = items, seed
-        table = defaultdict(set)
-        for k, (_, h) in enumerate(items):
-            for g in kgram_hashes(h, seed).tolist():
-                table[g].add(k)
-        self.table = dict(table)
-        self.grams = np.sort(np.fromiter(self.table, dtype=np.uint64, count=len(self.table)))
-
-    def candidates(self, h: np.ndarray) -> dict[int, None]:
+    """Seed hash to places of item texts for one block of the benchmark; an id may
+    have several texts, and ids may be null. Arrays only: grams in rising order with
+    the place of their text, and the words of all texts end to end."""
+
+    def __init__(self, items: Iterable[tuple[int | None, str]], seed: int):
+        ids, words, grams, places = [], [], [], []
+        for place, (item, text) in enumerate(items):
+            h = word_hashes(text)
+            g = np.unique(kgram_hashes(h, seed))
+            ids.append(item)
+            words.append(h)
+            grams.append(g)
+            places.append(np.full(len(g), place, dtype=np.int32))
+        self.seed, self.ids = seed, ids
+        self.ends = np.cumsum([0, *map(len, words)])
+        self.words = np.concatenate(words) if words else np.empty(0, np.uint64)
+        grams, places = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((grams, np.uint64), (places, np.int32)))
+        order = np.argsort(grams, kind="stable")
+        self.grams, self.places = grams[order], places[order]
+
+    @property
+    def nbytes(self) -> int:
+        return self.words.nbytes + self.grams.nbytes + self.places.nbytes + self.ends.nbytes + 32 * len(self.ids)
+
+    def item(self, place: int) -> tuple[int | None, np.ndarray]:
+        return self.ids[place], self.words[self.ends[place]:self.ends[place + 1]]
+
+    def candidates(self, h: np.ndarray) -> list[int]:
+        """Places of the texts that share a seed with ``h``."""
         g = kgram_hashes(h, self.seed)
         if not len(g) or not len(self.grams):
-            return {}
+            return []
         at = np.searchsorted(self.grams, g)
         at[at == len(self.grams)] = 0
-        return dict.fromkeys(i for x in set(g[self.grams[at] == g].tolist()) for i in sorted(self.table[x]))
+        g = np.unique(g[self.grams[at] == g])
+        ranges = zip(np.searchsorted(self.grams, g, "left").tolist(), np.searchsorted(self.grams, g, "right").tolist())
+        found = [self.places[lo:hi] for lo, hi in ranges]
+        return np.unique(np.concatenate(found)).tolist() if found else []
 
 
 def _tile_rows(index, min_match: int):
@@ -124,7 +145,7 @@ def _tile_rows(index, min_match: int):
             for i, rk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 h = word_hashes(text.as_py())
                 for k in idx.candidates(h):
-                    item, pattern = idx.items[k]
+                    item, pattern = idx.item(k)
                     tiles = greedy_tiles(h, pattern, min_match)
                     rows.append((i, rk, item, len(tiles), sum(t[0] for t in tiles), len(pattern)))
             cols = list(zip(*rows)) if rows else [[]] * 6
@@ -152,7 +173,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
         block = items.where(F.pmod(F.xxhash64("item", "t"), F.lit(n)) == k) if n > 1 else items
         got = {(r["item"], r["t"]) for r in block.collect()}                   # about block_bytes
         ordered = sorted(got, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
-        index = spark.sparkContext.broadcast(SeedIndex([(i, word_hashes(t)) for i, t in ordered], seed))
+        index = spark.sparkContext.broadcast(SeedIndex(ordered, seed))
         parts.append(docs.mapInArrow(_tile_rows(index, min_match), PAIRS))
     pairs = functools.reduce(DataFrame.unionByName, parts)
     return pairs.withColumn("coverage", F.col("covered") / F.col("item_words"))
@@ -178,8 +199,8 @@ def flag_documents(df: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
     * very long texts are tiled whole; empty tables: an empty result, or all clean
     * other columns are not read
     """
-    hits = contaminated(df, benchmark, threshold, id_col=id_col, text_col=text_col, **kw)
-    return (keyed(df, id_col, text_col).select("__id", "__rk").join(hits, ["__id", "__rk"], "left")
+    hits = join_side(contaminated(df, benchmark, threshold, id_col=id_col, text_col=text_col, **kw), "contaminated")
+    return (keyed(df, id_col, text_col).select("__id", "__rk").join(maybe_broadcast(hits), ["__id", "__rk"], "left")
             .select("__id", F.col("items").isNotNull().alias("contaminated"),
                     F.coalesce("items", F.array().cast("array<long>")).alias("items"),
                     F.coalesce("coverage", F.lit(0.0)).alias("coverage")))
@@ -187,7 +208,11 @@ def flag_documents(df: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, threshold: float = 0.6, id_col: str = "doc_id",
                       text_col: str = "text", **kw) -> DataFrame:
-    """The clean rows of ``df``, all columns as they were."""
+    """The clean rows of ``df``, all columns as they were, in every case as
+    ``flag_documents`` has it: rows with a null id or text and repeated rows are
+    judged alike and each stays or goes; an empty table stays empty; column names
+    do not matter. The hits, two numbers a row, are written first and broadcast
+    only if they are small, so texts need not be shuffled."""
     hits = contaminated(df, benchmark, threshold, id_col=id_col, text_col=text_col, **kw).select("__id", "__rk")
-    return (with_key(df, id_col, text_col).join(hits, ["__id", "__rk"], "left_anti")
+    return (with_key(df, id_col, text_col).join(maybe_broadcast(join_side(hits, "contaminated")), ["__id", "__rk"], "left_anti")
             .select(*[F.col(f"__row.`{c}`").alias(c) for c in df.columns]))

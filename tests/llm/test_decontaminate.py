@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from corpus_fixture import corpus, key, table, words
 
+from ridewise.llm import decontaminate as d
 from ridewise.llm.decontaminate import contaminated, drop_contaminated, flag_documents, greedy_tiles, overlaps
 
 ITEM = "item_id long, text string, extra string"
@@ -107,3 +108,18 @@ def test_empty_tables(spark):
     assert contaminated(df, b.where("item_id > 99")).count() == 0
     with pytest.raises(ValueError):
         overlaps(df, b, seed=3, min_match=4)
+
+
+def test_index_is_small_and_whole():
+    """32 MB of text must stay under 300 MB in a worker: at most 8 bytes of index a byte of text."""
+    rng = random.Random(3)
+    items = [(k if k % 7 else None, " ".join(rng.choice(("alpha", "beta", "of", "a", "gamma", "delta")) + str(rng.randrange(500))
+                                              for _ in range(rng.choice((2, 6, 40, 300))))) for k in range(400)]
+    index = d.SeedIndex(items, 5)
+    assert index.nbytes < 8 * sum(len(t.encode()) for _, t in items)
+    grams = [set(zip(*[t.lower().split()[i:] for i in range(5)])) for _, t in items]
+    for _, text in items[::9]:
+        mine = set(zip(*[text.lower().split()[i:] for i in range(5)]))
+        assert index.candidates(d.word_hashes(text)) == [k for k, g in enumerate(grams) if g & mine]
+    assert all(index.item(k)[0] == i and (index.item(k)[1] == d.word_hashes(t)).all() for k, (i, t) in enumerate(items))
+    assert d.SeedIndex([], 5).candidates(d.word_hashes("one two three four five")) == []
