@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridewise.llm.common import cut_lineage
+
 #: (block bytes, greatest dictionary bytes)
 SCALES = ((512, 96 << 10), (1024, 256 << 10), (4096, 256 << 10), (16384, 512 << 10))
 
@@ -164,6 +166,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = (df.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
               .where(F.col("__text").isNotNull()).join(F.broadcast(pick), "__id")
               .select("label", "__text", (F.xxhash64("__id", F.lit(2)) % 2 == 0).alias("for_curve")))
+    rows = cut_lineage(rows, "labelled-texts")      # a few thousand texts, read by every scale
     fitted = []
     for block, dict_bytes in scales:
         cut = (rows.where(~F.col("for_curve")).select("label", "__text")
