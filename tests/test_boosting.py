@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -132,3 +133,47 @@ def test_quantile_bins_hold_similar_shares(spark):
     edges = bo.fit_bins(df, ["x"], 32)[0]
     share = np.bincount(np.searchsorted(edges, np.arange(20_000.0) ** 2, side="left"), minlength=32) / 20_000
     assert len(edges) == 31 and share.max() < 0.04
+
+
+def _blocks(n=6000, block=500):
+    rng = np.random.RandomState(4)
+    bins = rng.randint(0, 20, (5, n)).astype(np.uint8)
+    y = bins[0] * 2.0 + rng.rand(n)
+    return [bo.Block(bins[:, i:i + block].copy(), y[i:i + block], np.ones(block), np.arange(i, i + block, dtype=np.uint64), np.zeros(block))
+            for i in range(0, n, block)]
+
+
+def test_one_task_makes_gradients_once_a_tree(monkeypatch):
+    calls, gradients = [], bo.gradients
+    monkeypatch.setattr(bo, "gradients", lambda *a: calls.append(1) or gradients(*a))
+    settings = bo.Settings(5, 20, 3, 42, 1.0, 0.7, "squared", 5, 0, 1.0, 0.0, 1, 0.3)
+    trees = list(bo._boost_in_task(settings, iter(_blocks())))
+    assert max(len(t.feature) for t in trees) > 31 and len(calls) == 3 * 12
+
+
+@pytest.mark.parametrize("unit", [False, True])
+def test_one_histogram_reaches_the_driver(spark, monkeypatch, unit):
+    blocks, columns = _blocks(), np.array([0, 2, 4])
+    tree = bo.Tree()
+    tree.split(0, 0, 9, 1.0)
+    job = bo.Pass([], tree.arrays(), np.array([-1, 0, 1]), 2, columns, 20, 0, 1, 0.5, "squared", *([True] if unit else []))
+    want = bo._whole(sum(next(bo._sum_blocks(job, [b])) for b in blocks))
+    rdd = spark.sparkContext.parallelize(blocks, 6)
+    fetched, collect = [], type(rdd).collect
+    size = lambda x: x.nbytes if isinstance(x, np.ndarray) else sum(map(size, x)) if isinstance(x, (list, tuple)) else 0
+    monkeypatch.setattr(RDD, "collect", lambda self: fetched.append(collect(self)) or fetched[-1])
+    got = bo._sums(rdd, job)
+    assert got.shape == (3, 2, 3, 20) and np.allclose(got, want)
+    assert size(fetched) <= want.nbytes                      # six tasks, one histogram
+
+
+def test_leaves_of_uneven_trees():
+    rng = np.random.RandomState(2)
+    bins = rng.randint(0, 256, (3, 700)).astype(np.uint8)
+    tree = bo.Tree()
+    a = tree.split(0, 1, 100, 1.0)
+    b = tree.split(a + 1, 2, 254, 1.0)
+    tree.split(b, 0, 30, 1.0)
+    want = [a if x[1] <= 100 else b + 1 if x[2] > 254 else b + 2 if x[0] <= 30 else b + 3 for x in bins.T]
+    assert bo.leaf_of(tree.arrays(), bins).tolist() == want
+    assert bo.leaf_of(bo.Tree().arrays(), bins).tolist() == [0] * 700
