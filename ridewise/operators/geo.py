@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from ridewise import constants as K
 from ridewise.functions.exprs import round_half_up
 from ridewise.functions.rules import demand_score
-from ridewise.sources.tables import maybe_broadcast
+from ridewise.session import cut_lineage
+from ridewise.sources.tables import BROADCAST_LIMIT_BYTES, estimated_bytes, maybe_broadcast
 
 
 def _dist(lat: Column, lon: Column, zlat: float | Column, zlon: float | Column) -> Column:
@@ -56,11 +57,14 @@ def assign_zone(df: DataFrame, lat: str, lon: str, max_dist: float | None = K.GR
 
 def nearest_centroid_join(points: DataFrame, zones: DataFrame, point_id: str, lat: str, lon: str,
                           max_dist: float, zone_id: str = "zone_idx") -> DataFrame:
-    """D7 (zone table of any size): cell-bucketed equi-join + per-point min.
+    """D7 (zone table of any size): cell-bucketed equi-join, one row a point.
 
     Each zone is replicated into the 3x3 cells around its own cell (cell size
     = ``max_dist``), so every zone within ``max_dist`` of a point shares the
-    point's cell. The min is a grouped ``min_by`` keyed by the point.
+    point's cell. A cell is one row with the list of its zones, so a point
+    meets one row, its min is taken there, and points are neither multiplied nor
+    grouped; with few zones they are not shuffled at all. Points without an id
+    are dropped.
     """
     cell = F.lit(float(max_dist))
     z = (zones.withColumn("__cx", F.floor(F.col("lat") / cell)).withColumn("__cy", F.floor(F.col("lon") / cell))
@@ -68,14 +72,14 @@ def nearest_centroid_join(points: DataFrame, zones: DataFrame, point_id: str, la
                                                      for a in (-1, 0, 1) for b in (-1, 0, 1)])))
               .select(zone_id, F.col("lat").alias("__zlat"), F.col("lon").alias("__zlon"),
                       (F.col("__cx") + F.col("__d")[0]).alias("__cx"), (F.col("__cy") + F.col("__d")[1]).alias("__cy")))
-    p = points.withColumn("__cx", F.floor(F.col(lat) / cell)).withColumn("__cy", F.floor(F.col(lon) / cell))
-    j = p.join(maybe_broadcast(z), ["__cx", "__cy"])
-    j = j.withColumn("__dist", _dist(F.col(lat), F.col(lon), F.col("__zlat"), F.col("__zlon")))
-    best = (j.where(F.col("__dist") <= max_dist)
-             .groupBy(point_id)
-             .agg(F.min(F.struct(F.col("__dist").alias("dist"), F.col(zone_id).alias("zone"))).alias("__b")))
-    return points.join(best, point_id).select(*points.columns, F.col("__b.dist").alias("nearest_dist"),
-                                               F.col("__b.zone").alias("nearest_zone"))
+    cells = z.groupBy("__cx", "__cy").agg(F.collect_list(F.struct("__zlat", "__zlon", F.col(zone_id).alias("zone"))).alias("__zones"))
+    if estimated_bytes(cells) > BROADCAST_LIMIT_BYTES:
+        cells = cut_lineage(cells, "zone-cells")                 # a plain exchange, which adaptive execution can split
+    p = points.where(F.col(point_id).isNotNull()).withColumn("__cx", F.floor(F.col(lat) / cell)).withColumn("__cy", F.floor(F.col(lon) / cell))
+    dists = F.transform("__zones", lambda z: F.struct(_dist(F.col(lat), F.col(lon), z["__zlat"], z["__zlon"]).alias("dist"), z["zone"].alias("zone")))
+    j = p.join(maybe_broadcast(cells), ["__cx", "__cy"]).withColumn("__b", F.array_min(F.filter(dists, lambda x: x["dist"] <= max_dist)))
+    return j.where(F.col("__b").isNotNull()).select(*points.columns, F.col("__b.dist").alias("nearest_dist"),
+                                                    F.col("__b.zone").alias("nearest_zone"))
 
 
 def grid_axis_size(start: float, stop: float, step: float) -> int:

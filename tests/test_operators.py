@@ -2,6 +2,7 @@
 scaling and evaluation operators on small typed fixtures."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -239,3 +240,21 @@ def test_density_of_a_given_range(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (50.0,)], "v double")
     h = stats.histogram(df, "v", 4, lo=0.0, hi=2.0, density=True).collect()
     assert sum(r["density"] * (r["bin_hi"] - r["bin_lo"]) for r in h) == pytest.approx(1.0)
+
+
+def test_nearest_zone_join_neither_groups_nor_shuffles_points(spark):
+    rng = np.random.RandomState(5)
+    zones = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.rand(40, 2).round(2))] + [(40, 0.5, 0.5), (41, 0.5, 0.5)]
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.rand(300, 2) * 1.4 - 0.2)] + [(300, 0.5, 0.5), (300, 0.5, 0.5), (301, None, 0.5),
+                                                                                           (None, 0.5, 0.5)]
+    z = spark.createDataFrame(zones, "zone_idx int, lat double, lon double")
+    p = spark.createDataFrame(pts, "id long, x double, y double").repartition(3)
+    out = geo.nearest_centroid_join(p, z, "id", "x", "y", 0.1)
+    want = []
+    for i, x, y in pts:
+        if i is not None and x is not None:
+            d, k = min((math.sqrt((x - a) ** 2 + (y - b) ** 2), k) for k, a, b in zones)
+            want += [(i, k)] if d <= 0.1 else []
+    assert sorted((r["id"], r["nearest_zone"]) for r in out.collect()) == sorted(want) and (300, 40) in want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [id" not in plan and plan.count("Join") == 1
