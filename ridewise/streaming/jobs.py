@@ -239,22 +239,28 @@ K4_OUT = T.StructType([
 KM_PER_DEGREE = 111.0
 DAY_MS = 86_400_000
 HELD = ("ms", "trip_id", "error", "lat", "lon", "device")
+HELD_ROWS = 4096
 
 
 class RiderState(StatefulProcessor):
     """Running features of one rider, the unit of state (they are sequential).
 
-    * ``held``: rows the watermark has not passed yet; a timer at the earliest one
-    * ``days``: per day the trips, cancellations and last pickup; a timer at the end of
-      the day drops its entry, once no row of that day can come any more
-    * ``devices``: the devices the rider has been seen with
+    * ``held``: rows the watermark has not passed yet, up to ``HELD_ROWS`` an element of
+      the list (elements are converted one by one); a timer at the earliest row
+    * ``rider``, one value: per day the trips, cancellations and last pickup, and the
+      devices the rider has been seen with. A day is kept until no row of it can come
+      any more; a timer at its end drops it.
+
+    Every use of state is a round trip between Python and the store, so a call
+    makes a few of them, whatever the number of its rows, days and devices.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getListState("held", "ms long, trip_id long, error int, lat double, lon double, device int")
-        self.days = handle.getMapState("days", "day long", "n int, cancels int, lat double, lon double")
-        self.devices = handle.getMapState("devices", "device int", "since long")
+        self.held = handle.getListState("held", "ms array<long>, trip_id array<long>, error array<int>, lat array<double>, lon array<double>, "
+                                                 "device array<int>")
+        self.rider = handle.getValueState("rider", "day array<long>, n array<int>, cancels array<int>, lat array<double>, lon array<double>, "
+                                                   "device array<int>, since array<long>")
 
     def handleInputRows(self, key, rows, timerValues):
         frames = [p[list(HELD)] for p in rows if len(p)]
@@ -264,49 +270,60 @@ class RiderState(StatefulProcessor):
         yield from self._advance(key, None, timerValues.getCurrentWatermarkInMs())
 
     def _advance(self, key, fresh, watermark: int):
-        held = pd.DataFrame(list(self.held.get()) if self.held.exists() else [], columns=list(HELD))
-        rows = held if fresh is None else fresh if not len(held) else pd.concat([held, fresh], ignore_index=True)
+        held = [pd.DataFrame(dict(zip(HELD, x))) for x in self.held.get()] if self.held.exists() else []
+        rows = [*held, *([] if fresh is None else [fresh])]
+        rows = pd.concat(rows, ignore_index=True) if rows else pd.DataFrame([], columns=list(HELD))
         rows = rows.sort_values(["ms", "trip_id"], kind="stable", ignore_index=True)
         ready = int((rows["ms"] < watermark).sum())
-        if ready:
-            yield self._emit(key, rows.iloc[:ready])
+        out = None
+        if ready or fresh is None:
+            day, n, cancels, lat, lon, device, since = self.rider.get() if self.rider.exists() else [()] * 7
+            days, devices = {d: v for d, *v in zip(day, n, cancels, lat, lon)}, dict(zip(device, since))
+            if ready:
+                out = self._emit(key, rows.iloc[:ready], days, devices)
+            kept = {d: v for d, v in days.items() if (d + 1) * DAY_MS >= watermark}
+            for d in kept:
+                self.handle.registerTimer((d + 1) * DAY_MS + 1)
+            if ready or len(kept) < len(day):
+                self.rider.update((list(kept), *map(list, zip(*kept.values()) if kept else [()] * 4), list(devices), list(devices.values())))
         wait = rows.iloc[ready:]
         if fresh is not None or ready:
             if len(wait):
-                self.held.put([(int(a), None if pd.isna(b) else int(b), int(c), float(d), float(e), int(f))
-                               for a, b, c, d, e, f in wait.itertuples(index=False)])
+                cells = [wait["ms"].astype("int64").tolist(), [None if pd.isna(x) else int(x) for x in wait["trip_id"]],
+                         *(wait[c].astype(t).tolist() for c, t in zip(HELD[2:], ("int32", "float64", "float64", "int32")))]
+                self.held.put([tuple(c[lo:lo + HELD_ROWS] for c in cells) for lo in range(0, len(wait), HELD_ROWS)])
                 self.handle.registerTimer(max(int(wait["ms"].iloc[0]) + 1, watermark + 1))
-            elif self.held.exists():
+            elif len(held):
                 self.held.clear()
-        if self.days.exists():
-            for (day,) in list(self.days.keys()):
-                if (day + 1) * DAY_MS < watermark:
-                    self.days.removeKey((day,))
-
-    def _emit(self, key, out: pd.DataFrame) -> pd.DataFrame:
-        known = {d for (d,) in self.devices.keys()} if self.devices.exists() else set()
-        first = ~out["device"].duplicated() & ~out["device"].isin(known)
-        for ms, device in out.loc[first, ["ms", "device"]].itertuples(index=False):
-            self.devices.updateValue((int(device),), (int(ms),))
-        new = first.astype("int32")
-        if not known:
-            new.iloc[0] = 0                                              # the rider's first trip of all
-        day, parts = (out["ms"] // DAY_MS).astype("int64"), []
-        for d, part in out.groupby(day, sort=True):
-            n, cancels, lat, lon = self.days.getValue((int(d),)) if self.days.containsKey((int(d),)) else (0, 0, None, None)
-            plat, plon = part["lat"].shift(), part["lon"].shift()
-            if lat is not None:
-                plat.iloc[0], plon.iloc[0] = lat, lon
-            jump = np.sqrt((part["lat"] - plat) * (part["lat"] - plat) + (part["lon"] - plon) * (part["lon"] - plon)) * KM_PER_DEGREE
-            parts.append(pd.DataFrame({
-                "trip_id": part["trip_id"].astype("int64"), "customer_id": key[0], "date": pd.Timestamp(int(d) * DAY_MS, unit="ms").date(),
-                "trips_so_far": np.arange(n + 1, n + len(part) + 1, dtype=np.int32),
-                "cancellations_so_far": (cancels + part["error"].cumsum()).astype("int32"),
-                "location_jump_km": (np.floor(jump * 100.0 + 0.5) / 100.0).fillna(0.0), "new_device": new.loc[part.index].astype("int32")}))
-            self.days.updateValue((int(d),), (n + len(part), cancels + int(part["error"].sum()), float(part["lat"].iloc[-1]),
-                                              float(part["lon"].iloc[-1])))
-            self.handle.registerTimer((int(d) + 1) * DAY_MS + 1)
-        return pd.concat(parts, ignore_index=True)
+        if out is not None:
+            yield out
+
+    def _emit(self, key, out: pd.DataFrame, days: dict[int, list], devices: dict[int, int]) -> pd.DataFrame:
+        """The features of ``out``, rows in order; ``days`` and ``devices`` then hold these rows, too."""
+        ms, error, lat, lon, device = (out[c].to_numpy() for c in ("ms", "error", "lat", "lon", "device"))
+        new = ~out["device"].duplicated().to_numpy() & ~np.isin(device, list(devices))
+        seen = dict(zip(device[new].tolist(), ms[new].tolist()))
+        if not devices:
+            new[0] = False                                               # the rider's first trip of all
+        devices |= seen
+        day = ms // DAY_MS
+        first = np.flatnonzero(np.r_[True, day[1:] != day[:-1]])
+        size = np.diff(np.r_[first, len(day)])
+        before = [days.get(d, (0, 0, np.nan, np.nan)) for d in day[first].tolist()]
+        trips, cancels = (np.array([b[i] for b in before], dtype=np.int64) for i in (0, 1))
+        plat, plon = np.r_[np.nan, lat[:-1]], np.r_[np.nan, lon[:-1]]
+        plat[first], plon[first] = ([b[i] for b in before] for i in (2, 3))
+        jump = np.sqrt((lat - plat) * (lat - plat) + (lon - plon) * (lon - plon)) * KM_PER_DEGREE
+        done = np.cumsum(error)
+        trips = np.arange(1, len(day) + 1) + np.repeat(trips - first, size)
+        cancels = done + np.repeat(cancels - (done[first] - error[first]), size)
+        for d, i in zip(day[first].tolist(), (first + size - 1).tolist()):
+            days[d] = [int(trips[i]), int(cancels[i]), float(lat[i]), float(lon[i])]
+        return pd.DataFrame({
+            "trip_id": out["trip_id"].astype("int64"), "customer_id": key[0], "date": out["ms"].floordiv(DAY_MS).map(
+                {d: pd.Timestamp(d * DAY_MS, unit="ms").date() for d in day[first].tolist()}),
+            "trips_so_far": trips.astype(np.int32), "cancellations_so_far": cancels.astype(np.int32),
+            "location_jump_km": np.nan_to_num(np.floor(jump * 100.0 + 0.5) / 100.0), "new_device": new.astype(np.int32)})
 
     def close(self) -> None:
         pass

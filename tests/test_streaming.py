@@ -4,6 +4,8 @@ import datetime as dt
 import tempfile
 import time
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ridewise.sources import bindings as B
@@ -100,3 +102,88 @@ def test_stream_scores_like_the_batch(spark):
     out = jobs.run_available_now(jobs.model_scoring(stream_, model, "v1"), "k3test")
     assert {tuple(r) for r in out.select(*cols).collect()} == {tuple(r) for r in model.transform(table).select(*cols).collect()}
     assert out.select("model_version").distinct().collect() == [("v1",)]
+
+
+class _Store:
+    """A rider's state in memory; counts its uses."""
+
+    def __init__(self):
+        self.calls, self.timers, self.state = 0, set(), {}
+
+    def getListState(self, name, schema):
+        return _Slot(self, name)
+
+    getValueState = getListState
+
+    def getMapState(self, name, *schemas):
+        return _Slot(self, name)
+
+    def registerTimer(self, at_):
+        self.calls += 1
+        self.timers.add(at_)
+
+
+class _Slot:
+    def __init__(self, store, name):
+        self.store, self.name = store, name
+
+    def _use(self):
+        self.store.calls += 1
+        return self.store.state
+
+    def exists(self):
+        return bool(self._use().get(self.name))
+
+    def get(self):
+        return self._use()[self.name]
+
+    def put(self, value):
+        self._use()[self.name] = value
+
+    update = put
+
+    def clear(self):
+        self._use().pop(self.name, None)
+
+    def keys(self):
+        return list(self._use().setdefault(self.name, {}))
+
+    def containsKey(self, k):
+        return k in self._use().setdefault(self.name, {})
+
+    def getValue(self, k):
+        return self._use()[self.name][k]
+
+    def updateValue(self, k, v):
+        self._use().setdefault(self.name, {})[k] = v
+
+    def removeKey(self, k):
+        self._use()[self.name].pop(k)
+
+
+class _Now:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_uses_of_rider_state_do_not_grow_with_days_and_devices(monkeypatch):
+    monkeypatch.setattr(jobs, "HELD_ROWS", 7, raising=False)
+    day, n = jobs.DAY_MS, 60
+    rows = pd.DataFrame({"ms": np.arange(n) * day // 2 + 5, "trip_id": np.arange(n), "error": np.arange(n) % 3 // 2, "lat": np.arange(n) / 100.0,
+                         "lon": 0.0, "device": np.arange(n) % 11}).sample(frac=1, random_state=1)
+    store, rider = _Store(), jobs.RiderState()
+    rider.init(store)
+    assert not list(rider.handleInputRows((7,), iter([rows.iloc[:40], rows.iloc[40:]]), _Now(0)))
+    out = pd.concat(rider.handleExpiredTimer((7,), _Now(20 * day + day // 4), None))
+    rest = pd.concat(rider.handleExpiredTimer((7,), _Now(99 * day), None))
+    assert store.calls <= 25
+    got = pd.concat([out, rest], ignore_index=True)
+    assert len(out) == 41 and got["trip_id"].tolist() == list(range(n))
+    assert got["trips_so_far"].tolist() == [1, 2] * (n // 2)
+    assert got["cancellations_so_far"].tolist() == [sum(i % 3 == 2 for i in range(k - k % 2, k + 1)) for k in range(n)]
+    assert got["new_device"].tolist() == [int(0 < k < 11) for k in range(n)]
+    assert got["location_jump_km"].tolist() == [1.11 if k % 2 else 0.0 for k in range(n)]
+    assert got["date"].tolist() == [dt.date(1970, 1, 1) + dt.timedelta(days=k // 2) for k in range(n)]
