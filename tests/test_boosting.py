@@ -177,3 +177,9 @@ def test_leaves_of_uneven_trees():
     want = [a if x[1] <= 100 else b + 1 if x[2] > 254 else b + 2 if x[0] <= 30 else b + 3 for x in bins.T]
     assert bo.leaf_of(tree.arrays(), bins).tolist() == want
     assert bo.leaf_of(bo.Tree().arrays(), bins).tolist() == [0] * 700
+
+
+def test_tasks_of_a_fit_do_not_grow_with_the_rows():
+    from ridewise.operators.boosting import CORE_TASKS, DIRECT, TASK_ROWS, task_count
+    assert [task_count(n, 12) for n in (1, TASK_ROWS, TASK_ROWS + 1)] == [1, 1, 2]
+    assert task_count(29_000_000, 12) == task_count(290_000_000, 12) == max(DIRECT, 12 * CORE_TASKS)
