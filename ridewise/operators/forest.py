@@ -41,19 +41,18 @@ class Forest(RandomForestRegressor):
         if self.getMaxBins() > bo.MAX_BINS or any(self.isSet(p) and p.name not in OWN for p in self.params):
             return super()._fit(df)
         names = [f"f{i}" for i in range(len(self.inputCols))]
-        rows = df.select(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(np.inf)), F.lit(np.inf)).alias(n) for c, n in zip(self.inputCols, names)],
-                         F.col(self.getLabelCol()).cast("double").alias("label"))
         keys = [*names, "label"]
-        count, about, bad = rows.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*keys)),
-                                     F.count_if(F.col("label").isNull() | F.isnan("label"))).first()
+        rows = df.select(*[F.col(c).cast("double").alias(k) for c, k in zip([*self.inputCols, self.getLabelCol()], keys)])
+        finite = functools.reduce(lambda a, b: a & b, [F.coalesce(F.abs(k) < float("inf"), F.lit(False)) for k in keys])     # NaN is above all
+        count, about, bad = rows.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*keys)), F.count_if(~finite)).first()
         if count <= bo.TASK_ROWS or about > FOREST_GROUPS or bo.GROUP_ROWS * about > count or bad:
-            return super()._fit(df)                                      # which refuses rows without a label
+            return super()._fit(df)                                      # which refuses rows with a missing number
         groups = cut_lineage(bo.grouped(rows, keys).select(*keys, "weight", "mark"), "forest-groups")
         edges = bo.fit_bins(rows, names, self.getMaxBins(), groups, between=True)
         table = cut_lineage(groups.mapInArrow(bo._block_rows(edges, len(names)), bo.BLOCKS), "forest-blocks")
         n, (mean, spread) = self.getNumTrees(), _spread(groups)
         wanted = len(names) if n == 1 else -(-len(names) // 3)           # MLlib's choice for regression
-        settings = Growth(len(names), max(len(e) for e in edges) + 1, wanted, self.getMaxDepth(), self.getSeed() % 2 ** 32, mean, spread)
+        settings = Growth(len(names), max(map(len, edges)) + 1, wanted, self.getMaxDepth(), self.getSeed() % 2 ** 32, mean, spread)
         sc = df.sparkSession.sparkContext
         held = sc.broadcast([tuple(r) for r in table.collect()])         # at most some FOREST_GROUPS rows
         try:
@@ -77,7 +76,7 @@ def _spread(groups: DataFrame) -> tuple[float, float]:
 
 
 class ForestModel(bo.HistogramBoostingModel):
-    """The mean of the trees, each leaf's value being its share of it; NaN and null count as the greatest value."""
+    """The mean of the trees, each leaf's value being its share of it; NaN and null count as the greatest value, as with MLlib."""
     missing = np.inf
 
 
