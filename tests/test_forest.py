@@ -98,14 +98,16 @@ def test_forest_of_groups_is_like_the_forest_of_rows(spark, small_tasks, monkeyp
     assert np.array_equal(predictions(PipelineModel.load(path), df), a)
 
 
-def test_missing_features_count_as_the_greatest(spark, small_tasks):
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_missing_numbers(spark, small_tasks, bad):
     _, _, df = frame(spark)
-    bad = df.withColumn("a", F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 7 == 0, float("nan")).otherwise(F.col("a")))
-    m = forecast.forest(COLS, "y", numTrees=10, maxDepth=4).fit(bad).stages[-1]
-    assert isinstance(m, forest.ForestModel) and np.isfinite(m.arrays["edges"]).all()
-    p = {r.a: r.prediction for r in m.transform(spark.createDataFrame([(None, 0.0, 0.0), (float("inf"), 0.0, 0.0), (6.0, 0.0, 0.0)],
-                                                                      "a double, b double, c double")).collect()}
-    assert p[None] == p[float("inf")] != p[6.0]
+    m = forecast.forest(COLS, "y", numTrees=10, maxDepth=4).fit(df).stages[-1]
+    two = spark.createDataFrame([(0, bad, 0.0, 0.0), (1, 99.0, 0.0, 0.0)], "id long, a double, b double, c double")
+    p = predictions(m, two)
+    assert isinstance(m, forest.ForestModel) and p[0] == p[1]                # as the greatest value, as with MLlib
+    for c in ("a", "y"):                                     # MLlib refuses to fit them, at every size
+        with pytest.raises(Exception, match="MUST NOT be"):
+            forecast.forest(COLS, "y", numTrees=2).fit(df.withColumn(c, F.when(F.col("id") > 9, F.col(c)).otherwise(bad)))
 
 
 def test_other_tables_and_settings_are_mllibs(spark, small_tasks):
@@ -114,5 +116,17 @@ def test_other_tables_and_settings_are_mllibs(spark, small_tasks):
     for pipe, table in ((forecast.forest(COLS, "y", numTrees=2, maxDepth=2), unlike),
                         (forecast.forest(COLS, "y", numTrees=2, maxDepth=2, minInstancesPerNode=3), df)):
         assert isinstance(pipe.fit(table).stages[-1], RandomForestRegressionModel)
-    with pytest.raises(Exception, match="(?i)null"):
-        forecast.forest(COLS, "y", numTrees=2).fit(df.withColumn("y", F.when(F.col("id") > 9, F.col("y")))).stages
+
+
+def test_scenarios_are_forecast_by_a_fit_over_groups(spark, small_tasks, monkeypatch, tmp_path):
+    from ridewise.plans import q_models
+    (spark.range(12_000).select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-03-01' + make_interval(0, 0, 0, 0, int(id div 10 % 96))").alias("ts"),
+                                (F.col("id") % 50).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"), F.lit("{}").alias("props"))
+     .write.parquet(f"{tmp_path}/events.parquet"))
+    counted, task_count, demand = [], bo.task_count, q_models._demand
+    monkeypatch.setattr(bo, "task_count", lambda rows, cores: counted.append(rows) or task_count(rows, cores))
+    monkeypatch.setattr(q_models, "_demand", lambda spark, d: demand(spark, d, 3, 4))
+    got = q_models.scenario_demand_forecast(spark, str(tmp_path)).collect()
+    assert len(got) == 120 and all(0 <= r.predicted_demand <= 1.5 for r in got)
+    assert counted == [960]                                  # hours of four days in ten zones
+    assert isinstance(q_models._demand(spark, str(tmp_path)).model("random_forest").stages[-1], forest.ForestModel)
