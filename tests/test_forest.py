@@ -130,3 +130,18 @@ def test_scenarios_are_forecast_by_a_fit_over_groups(spark, small_tasks, monkeyp
     assert len(got) == 120 and all(0 <= r.predicted_demand <= 1.5 for r in got)
     assert counted == [960]                                  # hours of four days in ten zones
     assert isinstance(q_models._demand(spark, str(tmp_path)).model("random_forest").stages[-1], forest.ForestModel)
+
+
+def test_the_demand_fit_does_not_grow_with_the_events(spark, monkeypatch, tmp_path):
+    """Above ``TASK_ROWS`` rows a fit goes over the hours of the week in a month and the zones, however many events there are."""
+    from ridewise.plans import q_models
+    counted, task_count, demand = [], bo.task_count, q_models._demand
+    monkeypatch.setattr(bo, "task_count", lambda rows, cores: counted.append(rows) or task_count(rows, cores))
+    monkeypatch.setattr(q_models, "_demand", lambda spark, d: demand(spark, d, 2, 2))
+    for n in (180_000, 360_000):
+        (spark.range(n).select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-03-01' + make_interval(0, 0, 0, 0, int(id div 10 % 720))").alias("ts"),
+                               (F.col("id") % 50).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"), F.lit("{}").alias("props"))
+         .write.parquet(f"{tmp_path}/{n}/events.parquet"))
+        assert len(q_models.scenario_demand_forecast(spark, f"{tmp_path}/{n}").collect()) == 120
+        assert isinstance(q_models._demand(spark, f"{tmp_path}/{n}").model("random_forest").stages[-1], forest.ForestModel)
+    assert counted == [1680, 1680]
