@@ -47,11 +47,15 @@ from pyspark.sql import types as T
 from ridewise.operators.stages import ColumnOut, ColumnsIn, Param, Params, StageParams, TableEstimator, TableModel, TypeConverters
 from ridewise.session import cut_lineage, shared_dir
 
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 65_536
 ADVANCE, REBUILD = 4, 64
+#: nodes that a byte can number, rows from which a tree is walked by whole columns
+BYTE_NODES, LONG_COLUMN = 256, 1024
 #: rows of a task at least, and tasks of a job for a core at most: a job's fixed cost grows with its tasks,
 #: which go over their blocks one by one and so may hold any number of them
 TASK_ROWS, CORE_TASKS = 131_072, 2
+#: rows of so many tasks are one task's after all: the exchange of sums would take longer than adding them up alone
+ALONE_TASKS = 8
 #: rows of a group at least, on average, for a larger table to be grouped by its features
 GROUP_ROWS = 4
 #: with more partitions than this, or if a fit would so fetch more than so many bytes,
@@ -77,12 +81,11 @@ def fit_bins(df: DataFrame, features: list[str], max_bins: int, groups: DataFram
     x, every = numbers(df if groups is None else groups), range(len(features))
     share = [i / max_bins for i in range(1, max_bins)]
     quantiles = lambda ids: [F.percentile_approx(f"x{i}", share, 20_000).alias(f"q{i}") for i in ids]
-    got = x.agg(*[F.approx_count_distinct(f"x{i}", 0.02).alias(f"n{i}") for i in every], *quantiles(every if groups is None else [])).first()
-    few = [i for i in every if got[f"n{i}"] <= 1.2 * max_bins]
-    exact = x.agg(*[F.collect_set(f"x{i}").alias(f"v{i}") for i in few]).first() if few else None     # at most some max_bins values each
-    values = {i: np.unique(np.array(exact[f"v{i}"], dtype=np.float64)) for i in few}
-    many = [i for i in every if i not in few or len(values[i]) > max_bins]
-    cut = got if groups is None or not many else numbers(df).agg(*quantiles(many)).first()
+    least = x.mapInArrow(_least_values(len(features), max_bins + 1), "i int, v double").groupBy("i").agg(
+        F.slice(F.sort_array(F.collect_set("v")), 1, max_bins + 1).alias("v"))
+    values = {i: np.empty(0) for i in every} | {r["i"]: np.unique(np.array(r["v"], dtype=np.float64)) for r in least.collect()}
+    many = [i for i in every if len(values[i]) > max_bins]
+    cut = numbers(df).agg(*quantiles(many)).first() if many else None                                 # only of features with many values
     out = []
     for i in every:
         if i in many:
@@ -92,6 +95,21 @@ def fit_bins(df: DataFrame, features: list[str], max_bins: int, groups: DataFram
     return out
 
 
+def _least_values(n: int, most: int):
+    """A task's least ``most`` distinct values of every column, as rows (column, value)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0)] * n
+        for b in batches:
+            for i in range(n):
+                new = b.column(i).drop_null().unique().to_numpy(zero_copy_only=False)
+                if len(held[i]) == most:
+                    new = new[new < held[i][-1]]
+                held[i] = np.unique(np.concatenate([held[i], new]))[:most]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(n, dtype=np.int32), [len(v) for v in held])), pa.array(np.concatenate(held))],
+                                         names=["i", "v"])
+    return run
+
+
 def grouped(rows: DataFrame, keys: list[str], *sums) -> DataFrame:
     """One row for each distinct ``keys``: their number as ``weight``, other ``sums``, and a mark."""
     return rows.groupBy(*keys).agg(*sums, F.count(F.lit(1)).cast("double").alias("weight")).withColumn("mark", F.lit(0).cast("long"))
@@ -125,15 +143,16 @@ BLOCKS = "bins binary, label binary, weight binary, mark binary"
 class Block:
     bins: np.ndarray
     label: np.ndarray
-    weight: np.ndarray
-    mark: np.ndarray
+    weight: np.ndarray | None            # None: all are 1
+    mark: np.ndarray | None
     margin: np.ndarray
 
 
-def _unpack(row, features: int, start: float, trees: list) -> Block:
+def _unpack(row, features: int, start: float, trees: list, weights: bool = True, marks: bool = True) -> Block:
+    """``weights``, ``marks``: whether the fit looks at them; what a block does not hold is not read in every job."""
     y, w, m = (np.frombuffer(row[c], t) for c, t in ((1, np.float64), (2, np.float64), (3, np.uint64)))
     bins = np.frombuffer(row[0], np.uint8).reshape(features, len(y))
-    return Block(bins, y, w, m, margin_of(trees, bins, start))
+    return Block(bins, y, w if weights else None, m if marks else None, margin_of(trees, bins, start))
 
 
 # ------------------------------------------------------------------ trees
@@ -167,10 +186,25 @@ def _levels(feature: np.ndarray, left: np.ndarray) -> int:
     return max(depth, default=0)
 
 
+def _move(node: np.ndarray, bins: np.ndarray, tree: tuple[np.ndarray, ...], splits: np.ndarray) -> None:
+    """Moves the rows at each of ``splits`` (rising) to its children: a whole column is compared at a time, one byte a value."""
+    feature, cut, left, _ = tree
+    kind = node.dtype.type
+    for k, f, c, a in zip(splits.tolist(), feature[splits].tolist(), cut[splits].tolist(), left[splits].tolist()):
+        step = (bins[f] > c).astype(kind)
+        step += kind(a - k)
+        step *= node == k
+        node += step
+
+
 def leaf_of(tree: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
     """The leaf of every row."""
     feature, cut, left, _ = tree
     n = bins.shape[1]
+    if LONG_COLUMN <= n and len(feature) <= BYTE_NODES:
+        node = np.zeros(n, dtype=np.uint8)
+        _move(node, bins, tree, np.flatnonzero(feature >= 0))
+        return node
     node = np.zeros(n, dtype=np.intp)
     if feature[0] < 0:
         return node
@@ -188,7 +222,7 @@ def leaf_of(tree: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
 def margin_of(trees, bins: np.ndarray, start) -> np.ndarray:
     out = np.array(start, dtype=np.float64) if np.ndim(start) else np.full(bins.shape[1], float(start))
     for t in trees:
-        out = out + t[3][leaf_of(t, bins)]
+        out += t[3].take(leaf_of(t, bins).astype(np.intp, copy=False))
     return out
 
 
@@ -219,21 +253,28 @@ class Pass:
     grouped: bool = False                # a weight is a number of rows
 
 
-def gradients(objective: str, margin, label, weight) -> tuple[np.ndarray, np.ndarray]:
+def gradients(objective: str, margin, label, weight) -> tuple[np.ndarray, np.ndarray | None]:
+    """Gradients and Hessians; without weights (None) the Hessian of a squared error is 1 and None."""
     if objective == "squared":
-        return weight * (margin - label), weight
+        return (margin - label if weight is None else weight * (margin - label)), weight
     p = 1.0 / (1.0 + np.exp(-margin))
-    return weight * (p - label), weight * np.maximum(p * (1.0 - p), 1e-16)
-
-
-def _add_rows(out: np.ndarray, job: Pass, bins: np.ndarray, rows, base: np.ndarray, g: np.ndarray, h: np.ndarray | None,
-              n: np.ndarray | None = None) -> None:
-    """Adds rows to ``out``: ``bins`` at ``rows`` (None: all), slots times the width, gradients, Hessians (None: as ``n``) and
-    numbers of rows (None: 1)."""
-    cells = out.shape[1] * job.width
+    g, h = p - label, np.maximum(p * (1.0 - p), 1e-16)
+    return (g, h) if weight is None else (weight * g, weight * h)
+
+
+def _add_rows(out: np.ndarray, job: Pass, bins: np.ndarray, slot: np.ndarray, g: np.ndarray, h: np.ndarray | None, n: np.ndarray | None) -> None:
+    """Adds a block's rows to ``out`` by their slots (-1: left out): gradients, Hessians (if ``out`` has them) and numbers of rows (None: 1)."""
+    rows, cells = np.flatnonzero(slot >= 0), out.shape[1] * job.width
+    if not len(rows):
+        return
+    some = len(rows) < len(slot)
+    base = slot.take(rows) * job.width if out.shape[1] > 1 else None
+    stats = [v if v is None or not some else v.take(rows) for v in ((g, h, n) if len(out) == 3 else (g, n))]
     for j, c in enumerate(job.columns):
-        at = base + (bins[c] if rows is None else bins[c].take(rows))
-        for s, v in enumerate((g, n) if h is None else (g, h, n)):
+        at = (bins[c].take(rows) if some else bins[c]).astype(np.intp)
+        if base is not None:
+            at += base
+        for s, v in enumerate(stats):
             out[s, :, j] += np.bincount(at, v, cells).reshape(-1, job.width)
 
 
@@ -250,14 +291,11 @@ def _sum_blocks(job: Pass, blocks) -> Iterator[np.ndarray]:
     """Sums (gradient, Hessian if it is not 1, rows) by (slot, column, bin) over a task's blocks."""
     out = np.zeros((_stats(job), job.slots, len(job.columns), job.width))
     for b in blocks:
-        rows = np.flatnonzero(_drawn(b.mark, job.turn, job.seed, job.rate)) if job.rate < 1 else np.arange(len(b.label))
-        slot = job.slot[leaf_of(job.tree, b.bins if job.rate >= 1 else b.bins.take(rows, axis=1))]
-        at = np.flatnonzero(slot >= 0)
-        rows, slot = rows[at], slot[at]
-        if len(rows):
-            bins = b.bins.take(rows, axis=1)
-            g, h = gradients(job.objective, margin_of(job.trees, bins, b.margin[rows]), b.label[rows], b.weight[rows])
-            _add_rows(out, job, bins, None, slot * job.width, g, h if len(out) == 3 else None, b.weight[rows] if job.grouped else None)
+        slot = job.slot.take(leaf_of(job.tree, b.bins).astype(np.intp, copy=False))
+        if job.rate < 1:
+            slot[~_drawn(b.mark, job.turn, job.seed, job.rate)] = -1
+        g, h = gradients(job.objective, margin_of(job.trees, b.bins, b.margin), b.label, b.weight)
+        _add_rows(out, job, b.bins, slot, g, h, b.weight if job.grouped else None)
     yield out
 
 
@@ -448,8 +486,9 @@ class HistogramBoosting(TableEstimator, BoostingParams):
 
     def _grow_all(self, table: DataFrame, edges: list[np.ndarray], start: float, tasks: int, grouped: bool = False) -> list[Tree]:
         settings = self._settings(edges, grouped)
-        unpack = lambda trees: functools.partial(_unpack, features=len(edges), start=start, trees=trees)
-        if tasks == 1:                                                   # one task's rows: no sums to exchange
+        unpack = lambda trees: functools.partial(_unpack, features=len(edges), start=start, trees=trees,
+                                                 weights=grouped or not settings.unit, marks=settings.row_share < 1)
+        if tasks <= ALONE_TASKS:                                         # few rows: no sums to exchange
             return table.rdd.coalesce(1).map(tuple).map(unpack([])).mapPartitions(functools.partial(_boost_in_task, settings)).collect()
         shared_dir(table.sparkSession)                                   # the folder checkpoint() writes to
         packed = table.rdd.coalesce(tasks).map(tuple)
@@ -521,27 +560,20 @@ class _Growing:
     """A task's block while a tree grows: the drawn rows' bins, gradients and nodes."""
 
     def __init__(self, job: Pass, b: Block):
-        rows = np.flatnonzero(_drawn(b.mark, job.turn, job.seed, job.rate)) if job.rate < 1 else slice(None)
-        self.bins = np.ascontiguousarray(b.bins[:, rows])
-        self.g, self.h = gradients(job.objective, b.margin[rows], b.label[rows], b.weight[rows])
-        self.n = b.weight[rows] if job.grouped else None
-        self.node = np.zeros(len(self.g), dtype=np.intp)
+        rows = np.flatnonzero(_drawn(b.mark, job.turn, job.seed, job.rate)) if job.rate < 1 else None
+        of = lambda x: x if rows is None or x is None else x.take(rows, axis=-1)
+        self.bins, weight = np.ascontiguousarray(of(b.bins)), of(b.weight)
+        self.g, self.h = gradients(job.objective, of(b.margin), of(b.label), weight)
+        self.n = weight if job.grouped else None
+        self.node, self.known = np.zeros(len(self.g), dtype=np.uint8), 1
 
     def add(self, job: Pass, out: np.ndarray) -> None:
-        feature, cut, left, _ = job.tree
-        inner, start, flat = feature >= 0, feature.astype(np.intp) * len(self.node), self.bins.ravel()
-        cut, left = cut.astype(np.uint8), left.astype(np.intp)
-        moved = np.flatnonzero(inner.take(self.node))
-        while len(moved):                                                # one level, as sums are asked for level by level
-            at = self.node.take(moved)
-            at = left.take(at) + (flat.take(start.take(at) + moved) > cut.take(at))
-            self.node[moved] = at
-            moved = moved[inner.take(at)]
-        slot = job.slot.take(self.node)
-        rows = np.flatnonzero(slot >= 0)
-        if len(rows):
-            _add_rows(out, job, self.bins, rows, slot.take(rows) * job.width, self.g.take(rows), self.h.take(rows) if len(out) == 3 else None,
-                      self.n if self.n is None else self.n.take(rows))
+        feature, left = job.tree[0], job.tree[2]
+        if len(feature) > BYTE_NODES:
+            self.node = self.node.astype(np.uint32, copy=False)
+        _move(self.node, self.bins, job.tree, np.flatnonzero((feature >= 0) & (left >= self.known)))       # splits made since
+        self.known = len(feature)
+        _add_rows(out, job, self.bins, job.slot.take(self.node.astype(np.intp)), self.g, self.h, self.n)
 
 
 def _boost_in_task(settings: Settings, blocks: Iterator[Block]) -> Iterator[Tree]:

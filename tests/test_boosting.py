@@ -183,3 +183,46 @@ def test_tasks_of_a_fit_do_not_grow_with_the_rows():
     from ridewise.operators.boosting import CORE_TASKS, DIRECT, TASK_ROWS, task_count
     assert [task_count(n, 12) for n in (1, TASK_ROWS, TASK_ROWS + 1)] == [1, 1, 2]
     assert task_count(29_000_000, 12) == task_count(290_000_000, 12) == max(DIRECT, 12 * CORE_TASKS)
+
+
+def test_rows_of_few_tasks_exchange_no_sums(spark, monkeypatch):
+    _, _, df = frame(spark)
+    est = bo.HistogramBoosting(inputCols=COLS, labelCol="y", keyCol="id", rounds=9, maxDepth=4, rate=0.2, l2=0.5, rowShare=0.6)
+    monkeypatch.setattr(bo, "TASK_ROWS", 200)                # five tasks
+    jobs, sums = [], bo._sums
+    monkeypatch.setattr(bo, "_sums", lambda *a: jobs.append(1) or sums(*a))
+    alone = est.fit(df)
+    assert not jobs
+    monkeypatch.setattr(bo, "ALONE_TASKS", 1)
+    for k, v in (("BLOCK_ROWS", 150), ("ADVANCE", 2), ("REBUILD", 4), ("DIRECT", 2)):
+        monkeypatch.setattr(bo, k, v)
+    many = est.fit(df)
+    assert len(jobs) >= 9
+    for k in ("feature", "cut", "left", "size"):
+        assert np.array_equal(alone.arrays[k], many.arrays[k]), k
+    assert np.allclose(alone.arrays["value"], many.arrays["value"], atol=1e-9)
+
+
+@pytest.mark.parametrize("depth", [3, 9])
+def test_columns_walk_trees_as_rows_do(monkeypatch, depth):
+    rng = np.random.RandomState(depth)
+    bins = rng.randint(0, 256, (4, 5000)).astype(np.uint8)
+    tree, open_ = bo.Tree(), [(0, 0)]
+    while open_:
+        n, d = open_.pop()
+        if d < depth and rng.rand() < 0.9:
+            a = tree.split(n, rng.randint(4), rng.randint(255), 1.0)
+            open_ += [(a, d + 1), (a + 1, d + 1)]
+    got = bo.leaf_of(tree.arrays(), bins)
+    monkeypatch.setattr(bo, "LONG_COLUMN", 10 ** 9)
+    assert np.array_equal(got, bo.leaf_of(tree.arrays(), bins))
+
+
+def test_quantiles_are_asked_of_features_with_many_values_only(spark, monkeypatch):
+    df = spark.range(3000).repartition(5).select((F.col("id") % 30).cast("double").alias("a"), F.col("id").cast("double").alias("b"),
+                                                 F.when(F.col("id") % 3 > 0, F.col("id") % 16 - 8.0).alias("c"), F.lit(None).cast("double").alias("d"))
+    asked, quantiles = [], F.percentile_approx
+    monkeypatch.setattr(F, "percentile_approx", lambda c, *a: asked.append(c) or quantiles(c, *a))
+    edges = bo.fit_bins(df, ["a", "b", "c", "d"], 30)
+    assert asked == ["x1"]
+    assert edges[0].tolist() == list(range(29)) and edges[2].tolist() == list(range(-8, 7)) and not len(edges[3]) and len(edges[1]) == 29
