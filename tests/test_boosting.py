@@ -185,7 +185,7 @@ def test_tasks_of_a_fit_do_not_grow_with_the_rows():
     assert task_count(29_000_000, 12) == task_count(290_000_000, 12) == max(DIRECT, 12 * CORE_TASKS)
 
 
-def test_rows_of_few_tasks_exchange_no_sums(spark, monkeypatch):
+def test_few_numbers_exchange_no_sums(spark, monkeypatch):
     _, _, df = frame(spark)
     est = bo.HistogramBoosting(inputCols=COLS, labelCol="y", keyCol="id", rounds=9, maxDepth=4, rate=0.2, l2=0.5, rowShare=0.6)
     monkeypatch.setattr(bo, "TASK_ROWS", 200)                # five tasks
@@ -193,7 +193,7 @@ def test_rows_of_few_tasks_exchange_no_sums(spark, monkeypatch):
     monkeypatch.setattr(bo, "_sums", lambda *a: jobs.append(1) or sums(*a))
     alone = est.fit(df)
     assert not jobs
-    monkeypatch.setattr(bo, "ALONE_TASKS", 1)
+    monkeypatch.setattr(bo, "ALONE_CELLS", 0)
     for k, v in (("BLOCK_ROWS", 150), ("ADVANCE", 2), ("REBUILD", 4), ("DIRECT", 2)):
         monkeypatch.setattr(bo, k, v)
     many = est.fit(df)
@@ -226,3 +226,21 @@ def test_quantiles_are_asked_of_features_with_many_values_only(spark, monkeypatc
     edges = bo.fit_bins(df, ["a", "b", "c", "d"], 30)
     assert asked == ["x1"]
     assert edges[0].tolist() == list(range(29)) and edges[2].tolist() == list(range(-8, 7)) and not len(edges[3]) and len(edges[1]) == 29
+
+
+def test_fewer_tasks_where_their_histograms_need_no_adding(spark, monkeypatch):
+    _, _, df = frame(spark)
+    est = bo.HistogramBoosting(inputCols=COLS, labelCol="y", keyCol="id", rounds=3, maxDepth=3, rate=0.2)
+    whole = est.fit(df)
+    one = est._settings(whole.edges, False).histogram_bytes()
+    calls, sums, grow_all = [], bo._sums, bo.HistogramBoosting._grow_all
+    monkeypatch.setattr(bo, "_sums", lambda blocks, job, direct=False: calls.append(direct) or sums(blocks, job, direct))
+    monkeypatch.setattr(bo.HistogramBoosting, "_grow_all", lambda self, *a: calls.append(a[3]) or grow_all(self, *a))
+    for k, v in (("TASK_ROWS", 100), ("BLOCK_ROWS", 30), ("ALONE_CELLS", 0), ("CORE_TASKS", 4), ("DIRECT_BYTES", 5 * one)):
+        monkeypatch.setattr(bo, k, v)                        # nine tasks
+    many = est.fit(df)
+    assert calls[0] == 5 and set(calls[1:]) == {True} and np.array_equal(whole.arrays["cut"], many.arrays["cut"])
+    monkeypatch.setattr(bo, "FEW_TASK_ROWS", 100)            # five tasks would hold too many rows
+    calls.clear()
+    est.fit(df)
+    assert calls[0] == 9 and set(calls[1:]) == {False}
